@@ -97,11 +97,18 @@ def item_html() -> Column:
     )
 
 
+def last_catalog_page(spark: SparkSession, sf_dir: str) -> int:
+    top = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    return top // PER_PAGE + 1
+
+
 def catalog_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages: ``page, url, html, fetched_at``."""
     orders = orders_with_people(spark, sf_dir)
-    top = table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("top"))
-    last_page = top.select((F.floor(F.col("top") / PER_PAGE) + 1).cast("int").alias("last_page"))
+    # Items fill pages 1..last, every 97th item reaches one page further; two kinds of pages follow.
+    last_page = last_catalog_page(spark, sf_dir)
+    drift_pages = last_page // 500 + 1
+    end_page = last_page + 2 + drift_pages
 
     page = (F.floor(F.col("o_orderkey") / PER_PAGE) + 1).cast("int")
     pos = (F.col("o_orderkey") % PER_PAGE).cast("int")
@@ -121,23 +128,25 @@ def catalog_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("body")
     )
     # One extra page per 500 has links without text (drift), and the final page ends the catalog.
-    spare = last_page.select("last_page", F.explode(F.sequence(F.lit(0), F.floor(F.col("last_page") / 500).cast("int"))).alias("n"))
-    drift = spare.select(
-        (F.col("last_page") + 2 + F.col("n")).alias("page"),
+    drift = spark.range(1, drift_pages + 1).select(
+        (F.col("id") + last_page + 1).cast("int").alias("page"),
         F.concat(
-            F.lit('<article class="project-card"><h2><a href="/projects/'),
-            (F.col("n") + 1).cast("string"), F.lit('/x.html"></a></h2></article>'),
+            F.lit('<article class="project-card"><h2><a href="/projects/'), F.col("id").cast("string"),
+            F.lit('/x.html"></a></h2></article>'),
         ).alias("body"),
     )
-    end = spare.groupBy("last_page").agg(F.count("*").alias("n")).select(
-        (F.col("last_page") + 2 + F.col("n")).cast("int").alias("page"),
-        F.lit("<div>Ничего не найдено</div>").alias("body"),
+    end = spark.range(1).select(
+        F.lit(end_page).alias("page"), F.lit("<div>Ничего не найдено</div>").alias("body")
     )
     bodies = full.unionByName(drift).unionByName(end)
-    last = bodies.filter(F.col("body").contains("Ничего не найдено")).select(F.col("page").alias("end_page"))
-    nxt = (F.col("page") + 1).cast("string")
-    link = F.when(F.col("page") < F.col("end_page"), F.concat(F.lit('<a rel="next" href="/projects/page-'), nxt, F.lit('/">Следующая</a>'))).otherwise("")
-    return bodies.crossJoin(F.broadcast(end.select(F.col("page").alias("end_page")))).select(
+    link = F.when(
+        F.col("page") < end_page,
+        F.concat(
+            F.lit('<a rel="next" href="/projects/page-'), (F.col("page") + 1).cast("string"),
+            F.lit('/">Следующая</a>'),
+        ),
+    ).otherwise("")
+    return bodies.select(
         "page",
         listing_page_url(F.col("page")).alias("url"),
         F.concat(
@@ -146,3 +155,138 @@ def catalog_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("html"),
         fetched_at().alias("fetched_at"),
     )
+
+
+def detail_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail pages: ``url, html, fetched_at``; items with an id divisible by 101 have none."""
+    key = F.col("o_orderkey")
+    ident = (key + ITEM_OFFSET).cast("string")
+    body = F.concat(
+        F.lit('<!doctype html><html><head><title>Item '), key.cast("string"),
+        F.lit(': page</title><meta property="og:title" content="Item &amp;amp; order">'),
+        F.when(key % 10 == 0, F.concat(F.lit('<script type="application/ld+json">{"@type":"Thing","name":"Named '), key.cast("string"), F.lit('"}</script>'))).otherwise(""),
+        F.lit('</head><body><main><nav class="breadcrumb"><a href="/projects/">All</a><a href="/projects/category/'),
+        F.lower("o_orderstatus"), F.lit('/">Status '), F.col("o_orderstatus"),
+        F.lit('</a><a href="/projects/category/'), F.lower("o_orderstatus"), F.lit("/"), F.substring("o_orderpriority", 1, 1),
+        F.lit('/">Priority '), F.col("o_orderpriority"), F.lit("</a></nav>"),
+        F.when(key % 10 == 1, "").otherwise(F.concat(F.lit("<h1>Item "), key.cast("string"), F.lit("</h1>"))),
+        F.lit("<div>Бюджет: "), price_text(key, F.col("o_totalprice")), F.lit("</div>"),
+        F.lit('<a href="/users/c-'), F.col("o_custkey").cast("string"), F.lit('/">'), F.col("c_name"), F.lit("</a>"),
+        F.lit("<div itemprop=description>Details of order "), key.cast("string"), F.lit(" for <b>"), F.col("c_name"), F.lit("</b></div>"),
+        F.when(key % 3 == 0, F.concat(F.lit('<div>Заказчик выбрал исполнителя: <a href="/users/s-'), (key % 100).cast("string"), F.lit('/">Worker</a></div>'))).otherwise(""),
+        F.when(key % 2 == 0, F.concat(F.lit('<a href="/files/'), key.cast("string"), F.lit('.pdf">Spec</a>'))).otherwise(""),
+        F.lit("<p>Опубликован "), date_text(F.col("o_orderdate")), F.lit(" в 12:30</p><p>Последнее изменение: "),
+        date_text(F.col("o_orderdate")), F.lit(" в 13:10</p><div>"), (key % 50).cast("string"), F.lit(" ответов</div></main></body></html>"),
+    )
+    return orders_with_people(spark, sf_dir).filter((key + ITEM_OFFSET) % 101 != 0).select(
+        F.concat(F.lit(f"{BASE}/projects/"), ident, F.lit("/item.html")).alias("url"),
+        body.alias("html"), fetched_at().alias("fetched_at"),
+    )
+
+
+def section_page(key: Column) -> Column:
+    """The page of a user's sections an order is shown on."""
+    return (key % 3 + 1).cast("int")
+
+
+def profile_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile pages: three per customer (the profile and two further section pages).
+
+    Every order of the customer is one review, one portfolio link and one project card on the page
+    ``o_orderkey % 3 + 1``; orders divisible by 5 are repeated, unchanged, on the next page.
+    """
+    orders = orders_with_people(spark, sf_dir)
+    key = F.col("o_orderkey")
+    text_ = key.cast("string")
+    mood = F.when(key % 4 == 0, "Положительный отзыв").when(key % 4 == 1, "Отрицательный отзыв").otherwise("Просто отзыв")
+    review = F.concat(
+        F.lit('<section class="review"><a href="/users/s-'), (key % 100).cast("string"), F.lit('/">Author</a><p>'), mood,
+        F.lit(" о заказе "), text_, F.lit("</p></section>"),
+    )
+    work = F.concat(
+        F.lit('<div class="portfolio"><a href="/users/c-'), F.col("o_custkey").cast("string"), F.lit("/portfolio/item-"), text_,
+        F.lit('/">Work '), text_, F.lit('</a><img src="/i/'), text_, F.lit('.jpg"> '), amount(F.col("o_totalprice")).cast("string"), F.lit(" ₽</div>"),
+    )
+    page = section_page(key)
+    spots = F.when((key % 5 == 0) & (page < 3), F.array(page, page + 1)).otherwise(F.array(page))
+    blocks = orders.select(
+        "o_custkey", key.alias("k"), F.explode(spots).alias("page"),
+        F.concat(review, work, item_html()).alias("block"),
+    )
+    # The arrays hold the orders of one rendered page of one customer.
+    sections = blocks.groupBy("o_custkey", "page").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "block"))), lambda b: b["block"]), "").alias("body"),
+    )
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("place"))
+    people = table(spark, sf_dir, "customer").join(nation, "c_nationkey").withColumn(
+        "page", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)]))
+    )
+    role = F.when(F.col("c_custkey") % 2 == 0, "Заказчик").otherwise("Фрилансер")
+    cust = F.col("c_custkey").cast("string")
+    joined = people.join(sections.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey", "page"], "left")
+    html = F.concat(
+        F.lit("<!doctype html><html><head><title>"), role, F.lit(" "), F.col("c_name"), F.lit(" ID:"), cust,
+        F.lit(" - работа, Market.example, "), F.col("place"),
+        F.lit('</title><meta name="description" content="Profile"></head><body><main><h1>'), F.col("c_name"),
+        F.lit('</h1><img class="avatar" src="/a/'), cust, F.lit('.jpg"><div>На сайте '), (F.col("c_custkey") % 20).cast("string"),
+        F.lit(" лет (заходил 2 часа назад)</div><div>+ "), (F.col("c_custkey") % 30).cast("string"), F.lit(" - "), (F.col("c_custkey") % 7).cast("string"),
+        F.lit("</div><div>Рейтинг "), F.round(F.abs("c_acctbal"), 2).cast("decimal(12,2)").cast("string"),
+        F.lit("</div><div>Безопасные сделки "), (F.col("c_custkey") % 9).cast("string"),
+        F.lit("</div><div>Все ("), (F.col("c_custkey") % 11).cast("string"), F.lit(") Вакансии ("), (F.col("c_custkey") % 3).cast("string"),
+        F.lit(") Конкурсы (0)</div>"),
+        F.when(F.col("c_custkey") % 6 == 0, '<span class="badge-verified"></span>').otherwise(""),
+        F.lit('<section class="about">About '), F.col("c_mktsegment"), F.lit('</section><div class="skill"><a href="/freelancers/a/">'),
+        F.col("c_mktsegment"), F.lit('</a><a href="/freelancers/b/">Spark</a><a href="/freelancers/a/">'), F.col("c_mktsegment"), F.lit("</a></div>"),
+        F.coalesce("body", F.lit("")), F.lit("</main></body></html>"),
+    )
+    return joined.select(
+        F.concat(F.lit(f"{BASE}/users/c-"), cust, F.lit("/")).alias("url"), "page", html.alias("html"), fetched_at().alias("fetched_at")
+    )
+
+
+def people_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People listing pages: ``page, url, html, fetched_at``; thirty suppliers per page."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("place"))
+    suppliers = table(spark, sf_dir, "supplier").join(nation, "s_nationkey")
+    last = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0] // PER_PAGE + 1
+    key = F.col("s_suppkey")
+    ident = key.cast("string")
+    name = F.when(key % 3 == 0, F.col("s_name")).otherwise(F.concat_ws(", ", "s_name", "place"))
+    card = F.concat(
+        F.lit('<article class="freelancer-card"><a href="/users/s-'), ident, F.lit('/">'), name, F.lit("</a>"),
+        F.when(key % 2 == 0, F.concat(F.lit('<img src="/a/'), ident, F.lit('.jpg">'))).otherwise(""),
+        F.lit("<div>Программирование: Spark</div><div>Опыт: "), (key % 20).cast("string"), F.lit(" лет</div><div>Портфолио: "),
+        (key % 90).cast("string"), F.lit(" работ</div><div>"), (key % 40).cast("string"), F.lit(" отзывов</div>"),
+        F.lit("<div>Рейтинг: "), F.abs("s_acctbal").cast("decimal(12,2)").cast("string"), F.lit("</div>"),
+        F.lit('<a href="/users/s-'), ident, F.lit('/portfolio/p-'), ident, F.lit('/">Work</a></article>'),
+    )
+    page = (F.floor(key / PER_PAGE) + 1).cast("int")
+    # Every seventh person is listed again on the next page.
+    spots = F.when(
+        (key % 7 == 0) & (page < last), F.array(F.struct(page.alias("page"), key.alias("k")), F.struct((page + 1).alias("page"), key.alias("k")))
+    ).otherwise(F.array(F.struct(page.alias("page"), key.alias("k"))))
+    bodies = suppliers.select(F.explode(spots).alias("s"), card.alias("card")).groupBy(F.col("s.page").alias("page")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s.k", "card"))), lambda c: c["card"]), "").alias("body")
+    )
+    end = spark.range(1).select(F.lit(last + 1).alias("page"), F.lit("<p>no one</p>").alias("body"))
+    link = F.when(F.col("page") < last + 1, F.concat(F.lit('<a rel="next" href="/freelancers/page-'), (F.col("page") + 1).cast("string"), F.lit('/">Next</a>'))).otherwise("")
+    return bodies.unionByName(end).select(
+        "page",
+        F.when(F.col("page") == 1, f"{BASE}/freelancers/").otherwise(F.concat(F.lit(f"{BASE}/freelancers/page-"), F.col("page").cast("string"), F.lit("/"))).alias("url"),
+        F.concat(F.lit("<!doctype html><html><head><title>People</title></head><body><main>"), "body", link, F.lit("</main></body></html>")).alias("html"),
+        fetched_at().alias("fetched_at"),
+    )
+
+
+def category_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of category links, one page per brand: ``url, html``."""
+    part = table(spark, sf_dir, "part").select("p_brand", "p_type").distinct()
+    slug = F.lower("p_type")
+    link = F.concat(
+        F.lit('<li><a href="/projects/category/'), slug, F.lit('/">'), F.col("p_type"), F.lit('</a></li><li><a href="/projects/category/'),
+        slug, F.lit('/sub/">'), F.col("p_type"), F.lit(" sub</a></li>"),
+    )
+    return part.groupBy("p_brand").agg(F.array_join(F.sort_array(F.collect_list(link)), "").alias("body")).select(
+        F.concat(F.lit(f"{BASE}/projects/?brand="), F.substring_index("p_brand", "#", -1)).alias("url"),
+        F.concat(F.lit("<html><body><ul>"), "body", F.lit("</ul></body></html>")).alias("html"),
+    )

@@ -110,4 +110,5 @@ def parse_retry_after(value: Column, now: Column) -> Column:
     """Seconds to wait: a number or a date, never negative; NULL when it is neither."""
     number = F.when(~value.rlike(r"(?i)[df]\s*$"), value.try_cast("double"))
     until = (F.unix_micros(parse_http_date(value)) - F.unix_micros(now)) / 1_000_000
-    return F.coalesce(F.greatest(number, F.lit(0.0)), F.greatest(until, F.lit(0.0)))
+    seconds = F.coalesce(number, until)
+    return F.when(seconds.isNotNull(), F.greatest(seconds, F.lit(0.0)))

@@ -19,7 +19,8 @@ from pagelake.operators.runs import running_total
 
 def _counters() -> list[Column]:
     phase, kind = F.col("phase"), F.col("error_kind")
-    failed = phase.isin("failure", "blocked") | ((phase == "retry") & kind.isNotNull())
+    # A retry row stands for the failed attempt before it.
+    failed = phase.isin("retry", "failure", "blocked")
     return [
         F.count_if(phase == "start").alias("requests_total"),
         F.count_if(F.col("status_code").isNotNull()).alias("responses_total"),
