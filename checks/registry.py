@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from checks import page_queries, scalar_queries
+from checks import catalog_queries, event_queries, page_queries, scalar_queries
 
-MODULES = [scalar_queries, page_queries]
+MODULES = [scalar_queries, page_queries, event_queries, catalog_queries]
+flagship = catalog_queries.flagship
 
 
 def queries() -> dict:

@@ -163,7 +163,7 @@ def detail_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     ident = (key + ITEM_OFFSET).cast("string")
     body = F.concat(
         F.lit('<!doctype html><html><head><title>Item '), key.cast("string"),
-        F.lit(': page</title><meta property="og:title" content="Item &amp;amp; order">'),
+        F.lit(': page</title><meta property="og:title" content="Item &amp; order">'),
         F.when(key % 10 == 0, F.concat(F.lit('<script type="application/ld+json">{"@type":"Thing","name":"Named '), key.cast("string"), F.lit('"}</script>'))).otherwise(""),
         F.lit('</head><body><main><nav class="breadcrumb"><a href="/projects/">All</a><a href="/projects/category/'),
         F.lower("o_orderstatus"), F.lit('/">Status '), F.col("o_orderstatus"),
@@ -204,7 +204,7 @@ def profile_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" о заказе "), text_, F.lit("</p></section>"),
     )
     work = F.concat(
-        F.lit('<div class="portfolio"><a href="/users/c-'), F.col("o_custkey").cast("string"), F.lit("/portfolio/item-"), text_,
+        F.lit('<div class="portfolio"><a href="/users/c-'), F.col("o_custkey").cast("string"), F.lit("/portfolio/item-"), text_, F.lit("/"),
         F.lit('/">Work '), text_, F.lit('</a><img src="/i/'), text_, F.lit('.jpg"> '), amount(F.col("o_totalprice")).cast("string"), F.lit(" ₽</div>"),
     )
     page = section_page(key)

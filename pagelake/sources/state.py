@@ -123,7 +123,10 @@ def encode_payload(payload: Column) -> Column:
 
 def decode_status(value: Column) -> Column:
     """``ok``, ``legacy`` (no envelope), ``unsupported`` (other version) or ``corrupt``."""
-    parsed = F.try_parse_json(value)
+    # Inside brackets, text after the first value makes the whole thing invalid or a second element.
+    listed = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    single = F.try_variant_get(listed, "$[1]", "variant").isNull()
+    parsed = F.when(single, F.try_variant_get(listed, "$[0]", "variant"))
     kind = F.schema_of_variant(parsed)
     version = F.get_json_object(value, "$.payload_version")
     has_version = F.array_contains(F.json_object_keys(value), "payload_version")
