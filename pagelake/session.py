@@ -18,6 +18,12 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
+# Settings a session can only be started with.
+STATIC_CONF = {
+    # Page extraction is one large expression: do not look up the Python stack for each part of it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job here relies on to an existing session."""
@@ -30,7 +36,7 @@ def session(app: str = "pagelake", master: str | None = None, **conf: str) -> Sp
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
