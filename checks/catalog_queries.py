@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import render
 from checks.render import BASE, table
+from pagelake.functions.urls import split_base
 from pagelake.operators import catalog, crawl, detail, dom, generic, incremental, people, profile, quality
 from pagelake.operators.runs import first_per_key
 from pagelake.session import materialize
@@ -198,7 +199,7 @@ def w8(spark, sf):
     by_path = F.concat(F.lit('<a href="/list/page-'), nxt, F.lit('0/">far</a><a href="/list/page-'), nxt, F.lit('/">n</a>'))
     html = F.concat("html", F.when(F.col("page_id") % 3 == 0, by_query).when(F.col("page_id") % 3 == 1, by_path).otherwise(""))
     parsed = dom.parse_html(p.select("page_id", html.alias("html")))
-    found = catalog.next_page_url(F.col("nodes"), F.lit("https://m.example.org/list"), F.col("page_id"))
+    found = catalog.next_page_url(F.col("nodes"), split_base(F.lit("https://m.example.org/list")), F.col("page_id"))
     return parsed.select("page_id", found.alias("next_url"))
 
 
@@ -437,7 +438,7 @@ def a11(spark, sf):
     parsed = dom.parse_html(render.category_html(spark, sf))
     links = parsed.select(
         F.regexp_extract("url", r"brand=(\d+)", 1).cast("long").alias("brand"),
-        F.posexplode(generic.links(F.col("nodes"), F.col("texts"), F.col("url"))).alias("pos", "l"),
+        F.posexplode(generic.links(F.col("nodes"), F.col("texts"), split_base(F.col("url")))).alias("pos", "l"),
     )
     rows = links.select(F.col("l.url").alias("url"), F.col("l.text").alias("name"), (F.col("brand") * 100000 + F.col("pos")).alias("ord"))
     return crawl.distinct_categories(rows).select("name", "url", "slug", "parent")

@@ -212,7 +212,7 @@ u AS (SELECT page_id, ord, CASE WHEN starts_with(href, 'http') THEN href ELSE re
 @query("x5_links", LINKS_SQL + " SELECT page_id, url, arg_min(nullif(text, ''), ord) AS text, row_number() OVER (PARTITION BY page_id ORDER BY min(ord)) - 1 AS pos FROM u GROUP BY page_id, url")
 def x5(spark, sf):
     parsed = dom.parse_html(pages(spark, sf))
-    links = generic.links(F.col("nodes"), F.col("texts"), F.col("url"))
+    links = generic.links(F.col("nodes"), F.col("texts"), urls.split_base(F.col("url")))
     return parsed.select("page_id", F.posexplode(links).alias("pos", "l")).select("page_id", "pos", "l.url", "l.text")
 
 
@@ -298,7 +298,7 @@ def x6(spark, sf):
     )
     source = pages(spark, sf).select("page_id", F.concat("html", tags).alias("html"))
     parsed = dom.parse_html(source)
-    found = generic.images(F.col("nodes"), F.lit("https://market.example.org/projects/"))
+    found = generic.images(F.col("nodes"), urls.split_base(F.lit("https://market.example.org/projects/")))
     return parsed.select("page_id", F.posexplode(found).alias("pos", "i")).select("page_id", "pos", "i.url", "i.alt")
 
 

@@ -2,8 +2,8 @@
 
 Everything in this module is data, not logic.  The values have to be exactly
 these for the extracted records to come out right.  Patterns are written in
-Java dialect: ``(?U)`` makes ``\\s``, ``\\d`` and ``\\w`` Unicode aware and
-``(?iu)`` folds Cyrillic letters too.
+Java dialect: ``(?iu)`` folds Cyrillic letters, ``(?U)`` makes ``\\s`` Unicode aware.
+Patterns for page text need no ``(?U)``: its whitespace is already evened out.
 """
 
 # ---- versions carried on every record -------------------------------------
@@ -15,7 +15,7 @@ STATE_PAYLOAD_VERSION = 1
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 INTEGER = r"(?U)[0-9][0-9\s]*"
 DECIMAL = r"(?U)-?[0-9][0-9\s]*(?:[.,][0-9]+)?"
-AMOUNT = r"(?U)[0-9][0-9\s]*(?:[.,][0-9]+)?"
+AMOUNT = r"[0-9][0-9\s]*(?:[.,][0-9]+)?"
 UP_TO_LAST_CURRENCY = r"(?isu)^(.*(?:₽|руб(?:\.|лей|ля)?|\$|usd|€|eur))"
 NEGOTIABLE_WORD = "договор"
 INTERVIEW_WORD = "собеседован"
@@ -31,8 +31,8 @@ MONTHS_ENGLISH = [
 TODAY_WORD = "сегодня"
 YESTERDAY_WORD = "вчера"
 CLOCK = r"(\d{1,2}):(\d{2})"
-ABSOLUTE_DATE = r"(?U)(\d{1,2})\s+([а-яё]+)(?:\s+(\d{4}))?(?:[^\d]+(\d{1,2}):(\d{2}))?"
-RELATIVE_DATE = r"(?U)(\d+)\s+(минут\w*|час\w*|дн\w*|день|дня|недел\w*|месяц\w*)\s+назад"
+ABSOLUTE_DATE = r"(\d{1,2})\s+([а-яё]+)(?:\s+(\d{4}))?(?:[^\d]+(\d{1,2}):(\d{2}))?"
+RELATIVE_DATE = r"(\d+)\s+(минут[\wа-яё]*|час[\wа-яё]*|дн[\wа-яё]*|день|дня|недел[\wа-яё]*|месяц[\wа-яё]*)\s+назад"
 SECONDS_PER_UNIT = [  # word start, seconds; a month is 30 days
     ("минут", 60),
     ("час", 3_600),
@@ -87,15 +87,15 @@ DETAIL_STOP_WORDS = [
     "выберите способ верификации",
 ]
 BUDGET_FALLBACKS = [
-    r"(?iuU)(?:от\s+)?\d[\d\s]*(?:\s*[₽$€]|\s*(?:руб(?:лей|ля|ль)?|USD|EUR))"
+    r"(?iu)(?:от\s+)?\d[\d\s]*(?:\s*[₽$€]|\s*(?:руб(?:лей|ля|ль)?|USD|EUR))"
     r"(?:\s*[–-]\s*\d[\d\s]*(?:\s*[₽$€]|\s*(?:руб(?:лей|ля|ль)?|USD|EUR)))?",
     r"(?iu)по договоренности",
     r"(?iu)по результатам собеседования",
 ]
 PUBLISHED_PATTERNS = [
     r"(?iu)(?:сегодня|вчера)[^\n]{0,20}\d{1,2}:\d{2}",
-    r"(?iuU)\d{1,2}\s+[А-Яа-яЁё]+(?:\s+\d{4})?[^\n]{0,20}\d{1,2}:\d{2}",
-    r"(?iuU)\d+\s+(?:минут\w*|час\w*|дн\w*|недел\w*)\s+назад",
+    r"(?iu)\d{1,2}\s+[А-Яа-яЁё]+(?:\s+\d{4})?[^\n]{0,20}\d{1,2}:\d{2}",
+    r"(?iu)\d+\s+(?:минут[\wа-яё]*|час[\wа-яё]*|дн[\wа-яё]*|недел[\wа-яё]*)\s+назад",
 ]
 
 # ---- kinds, statuses and their words ----------------------------------------
@@ -120,31 +120,31 @@ KIND_ALIASES = {
 
 # ---- labelled values in page text (pattern, group 1 is the value) -----------
 LABELS = {
-    "responses": r"(?iuU)(\d+)\s+ответ",
-    "views": r"(?iuU)((?:больше\s+)?\d+\s+(?:просмотр|$))",
-    "location": r"(?iuU)(?:Вакансия|Заказ)\s*\(([^)]+)\)",
-    "budget": r"(?iuU)Бюджет:\s*([^\n]+)",
-    "published": r"(?iuU)Опубликован(?:о)?\s+([^\n]+)",
-    "updated": r"(?iuU)Последнее изменение:\s*([^\n]+)",
-    "experience": r"(?iuU)Опыт:\s*([^\n]+)",
-    "portfolio_count": r"(?iuU)Портфолио:\s*(\d+)\s+работ",
-    "reviews_count": r"(?iuU)(\d+)\s+отзыв",
-    "people_rating": r"(?iuU)Рейтинг\s*[:]?\s*([\d\s.,]+)",
-    "registered": r"(?iuU)На сайте\s+([^\n(]+)",
-    "last_seen": r"(?iuU)\((?:заходил|заходила)\s+([^)]+)\)",
-    "rating": r"(?iuU)Рейтинг\s+([\d\s.,]+)",
-    "safe_deals": r"(?iuU)Безопасные сделки\s+(\d+)",
-    "tab_all": r"(?iuU)Все\s*\((\d+)\)",
-    "tab_vacancies": r"(?iuU)Вакансии\s*\((\d+)\)",
-    "tab_contests": r"(?iuU)Конкурсы\s*\((\d+)\)",
+    "responses": r"(?iu)(\d+)\s+ответ",
+    "views": r"(?iu)((?:больше\s+)?\d+\s+(?:просмотр|$))",
+    "location": r"(?iu)(?:Вакансия|Заказ)\s*\(([^)]+)\)",
+    "budget": r"(?iu)Бюджет:\s*([^\n]+)",
+    "published": r"(?iu)Опубликован(?:о)?\s+([^\n]+)",
+    "updated": r"(?iu)Последнее изменение:\s*([^\n]+)",
+    "experience": r"(?iu)Опыт:\s*([^\n]+)",
+    "portfolio_count": r"(?iu)Портфолио:\s*(\d+)\s+работ",
+    "reviews_count": r"(?iu)(\d+)\s+отзыв",
+    "people_rating": r"(?iu)Рейтинг\s*[:]?\s*([\d\s.,]+)",
+    "registered": r"(?iu)На сайте\s+([^\n(]+)",
+    "last_seen": r"(?iu)\((?:заходил|заходила)\s+([^)]+)\)",
+    "rating": r"(?iu)Рейтинг\s+([\d\s.,]+)",
+    "safe_deals": r"(?iu)Безопасные сделки\s+(\d+)",
+    "tab_all": r"(?iu)Все\s*\((\d+)\)",
+    "tab_vacancies": r"(?iu)Вакансии\s*\((\d+)\)",
+    "tab_contests": r"(?iu)Конкурсы\s*\((\d+)\)",
 }
 REVIEW_COUNTS = [
-    r"(?iuU)Отзывы\s*\+?\s*(\d+)\s*-\s*(\d+)",
-    r"(?U)\+\s*(\d+)\s*-\s*(\d+)",
+    r"(?iu)Отзывы\s*\+?\s*(\d+)\s*-\s*(\d+)",
+    r"\+\s*(\d+)\s*-\s*(\d+)",
 ]
-TITLE_PERSON = r"(?iuU)(?:Заказчик|Фрилансер)\s+(.+?)\s+ID:\s*(\d+)"
+TITLE_PERSON = r"(?iu)(?:Заказчик|Фрилансер)\s+(.+?)\s+ID:\s*(\d+)"
 TITLE_ROLES = [("заказчик", "customer"), ("фрилансер", "freelancer")]
-TITLE_PLACE = r"(?iuU)\Q{site}\E,\s*(.+?)(?:\s*\(|$)"
+TITLE_PLACE = r"(?iu)\Q{site}\E,\s*(.+?)(?:\s*\(|$)"
 EXECUTOR_MARKER = r"(?iu)Заказчик выбрал исполнителя"
 SENTIMENTS = [(r"(?iu)отрицат|минус", "negative"), (r"(?iu)положит|плюс", "positive")]
 VERIFIED_WORD = "верифиц"

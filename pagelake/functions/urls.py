@@ -73,48 +73,76 @@ def _resolve_dots(segments: Column) -> Column:
     return F.when(joined == "", "/").otherwise(joined)
 
 
-def absolute_url(base: Column, value: Column) -> Column:
-    """``value`` resolved against ``base``; NULL for a missing or empty value."""
+def split_base(url: Column) -> Column:
+    """Parts of a page URL that its links are resolved against; split once per page."""
+    return F.struct(
+        scheme(url).alias("scheme"),
+        authority(url).alias("authority"),
+        path(url).alias("path"),
+        query(url).alias("query"),
+        F.concat(scheme(url), F.lit("://"), authority(url)).alias("site"),
+    )
+
 
-    def build(v: Column) -> Column:
-        other_scheme = scheme(v).isNotNull() & ~(scheme(v).eqNullSafe(scheme(base)))
+def resolve(base: Column, value: Column) -> Column:
+    """``value`` resolved against a ``split_base`` struct; NULL for a missing or empty value."""
 
-        def by_path(p: Column) -> Column:
-            directory = F.regexp_extract(path(base), r"(?s)^(.*/)[^/]*$", 1)
-            merged = F.when(p.startswith("/"), p).otherwise(
-                F.regexp_replace(
-                    F.concat(F.when(directory == "", "/").otherwise(directory), p), r"(?<=.)/{2,}(?=.)", "/"
+    def by_path(p: Column) -> Column:
+        directory = F.regexp_extract(base["path"], r"(?s)^(.*/)[^/]*$", 1)
+        merged = F.when(p.startswith("/"), p).otherwise(
+            F.regexp_replace(
+                F.concat(F.when(directory == "", "/").otherwise(directory), p), r"(?<=.)/{2,}(?=.)", "/"
+            )
+        )
+        return let(
+            merged,
+            lambda m: F.when(
+                m.rlike(r"(^|/)\.\.?(/|$)"), _resolve_dots(F.split(m, "/", -1))
+            ).otherwise(m),
+        )
+
+    def general(v: Column) -> Column:
+        def build(u: Column) -> Column:
+            other_scheme = u["scheme"].isNotNull() & ~u["scheme"].eqNullSafe(base["scheme"])
+            keep_path = u["path"] == ""
+            relative = _assemble(
+                base["scheme"],
+                base["authority"],
+                F.when(keep_path, base["path"]).otherwise(let(u["path"], by_path)),
+                F.when(keep_path & (u["query"] == ""), base["query"]).otherwise(u["query"]),
+                u["fragment"],
+            )
+            return (
+                F.when(other_scheme | base["scheme"].isNull(), v)
+                .when(
+                    u["authority"] != "",
+                    _assemble(base["scheme"], u["authority"], u["path"], u["query"], u["fragment"]),
                 )
+                .otherwise(relative)
             )
-            dotted = merged.rlike(r"(^|/)\.\.?(/|$)")
-            return F.when(dotted, _resolve_dots(F.split(merged, "/", -1))).otherwise(merged)
-
-        relative = F.when(
-            path(v) == "",
-            _assemble(
-                scheme(base),
-                authority(base),
-                path(base),
-                F.when(query(v) == "", query(base)).otherwise(query(v)),
-                fragment(v),
-            ),
-        ).otherwise(
-            _assemble(scheme(base), authority(base), let(path(v), by_path), query(v), fragment(v))
+
+        parts = F.struct(
+            scheme(v).alias("scheme"), authority(v).alias("authority"), path(v).alias("path"),
+            query(v).alias("query"), fragment(v).alias("fragment"),
         )
+        return let(parts, build)
+
+    def usual(v: Column) -> Column:
+        # Most links are /path or complete already; they need no general resolution.
+        rooted = v.rlike(r"^/[^/?#\s][^?#\s]*(\?[^#\s]+)?(#\S+)?$") & ~v.contains("/.")
         return (
-            F.when(other_scheme | scheme(base).isNull(), v)
-            .when(authority(v) != "", _assemble(scheme(base), authority(v), path(v), query(v), fragment(v)))
-            .otherwise(relative)
+            F.when(v == "", None)
+            .when(v.rlike(r"^https?://[^?#\s]+$"), v)
+            .when(rooted & base["scheme"].isNotNull(), F.concat(base["site"], v))
+            .otherwise(general(v))
         )
 
-    def resolve(tidy: Column) -> Column:
-        # The usual link of a page is /path: it needs no general resolution.
-        simple = tidy.rlike(r"^/[^/?#.:\s][^?#.\s]*$")
-        return F.when(tidy == "", None).when(
-            simple, F.concat(scheme(base), F.lit("://"), authority(base), tidy)
-        ).otherwise(build(tidy))
+    return let(F.regexp_replace(value, r"[\t\r\n]|^[\x00-\x20]+", ""), usual)
+
 
-    return let(F.regexp_replace(value, r"[\t\r\n]|^[\x00-\x20]+", ""), resolve)
+def absolute_url(base: Column, value: Column) -> Column:
+    """``value`` resolved against the URL ``base``; NULL for a missing or empty value."""
+    return let(split_base(base), lambda b: resolve(b, value))
 
 
 def project_id(url: Column) -> Column:

@@ -16,11 +16,12 @@ from pagelake.functions.hashing import content_fingerprint
 from pagelake.functions.money import parse_money
 from pagelake.functions.text import let
 from pagelake.functions.urls import (
-    absolute_url,
     page_number,
     path,
     project_id,
     query_pairs,
+    resolve,
+    split_base,
     username,
 )
 from pagelake.operators import dom
@@ -94,7 +95,7 @@ def find_card(nodes: Column, marks: Column, anchor: Column) -> Column:
     return let(dom.nearest(marks, anchor), decide)
 
 
-def next_page_url(nodes: Column, url: Column, page: Column) -> Column:
+def next_page_url(nodes: Column, base: Column, page: Column) -> Column:
     """Explicit next link, else the first link that carries the next page number."""
     explicit = F.nullif(dom.first(nodes, EXPLICIT_NEXT)["attrs"]["href"], F.lit(""))
     wanted = (page + 1).cast("string")
@@ -104,7 +105,7 @@ def next_page_url(nodes: Column, url: Column, page: Column) -> Column:
             # Only links that mention a page can qualify: resolve no others.
             lambda n: (n["tag"] == "a") & n["attrs"]["href"].contains("page"),
         ),
-        lambda n: absolute_url(url, n["attrs"]["href"]),
+        lambda n: resolve(base, n["attrs"]["href"]),
     )
 
     def numbered(href: Column) -> Column:
@@ -114,7 +115,7 @@ def next_page_url(nodes: Column, url: Column, page: Column) -> Column:
         return F.coalesce(by_query, F.lit(False)) | F.coalesce(by_path, F.lit(False))
 
     by_number = F.get(F.filter(hrefs, numbered), F.lit(0))
-    return F.coalesce(absolute_url(url, explicit), by_number)
+    return F.coalesce(resolve(base, explicit), by_number)
 
 
 def _ensure(pages: DataFrame) -> DataFrame:
@@ -136,8 +137,10 @@ def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
     if fingerprint:
         prepared = prepared.withColumn("page_fingerprint", content_fingerprint(F.col("html")))
     keys = [c for c in prepared.columns if c != "html"]
-    parsed = dom.parse_html(prepared, keep=keys).withColumn("root", dom.root_of(*LISTING_ROOTS))
-    nodes, texts, url = F.col("nodes"), F.col("texts"), F.col("url")
+    parsed = dom.parse_html(prepared, keep=keys).withColumns(
+        {"root": dom.root_of(*LISTING_ROOTS), "base": split_base(F.col("url"))}
+    )
+    nodes, texts, base = F.col("nodes"), F.col("texts"), F.col("base")
 
     anchors = F.filter(
         dom.below(nodes, F.col("root")),
@@ -146,7 +149,7 @@ def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
 
     def candidate(anchor: Column, marks: Column) -> Column:
         return let(
-            absolute_url(url, anchor["attrs"]["href"]),
+            resolve(base, anchor["attrs"]["href"]),
             lambda href: F.struct(
                 href.alias("url"),
                 project_id(href).alias("id"),
@@ -193,7 +196,7 @@ def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
 
     paged = parsed.select(
         *keys,
-        next_page_url(nodes, url, F.col("page")).alias("next_url"),
+        next_page_url(nodes, base, F.col("page")).alias("next_url"),
         F.lower(dom.multiline_text_of(texts, F.col("root"))).alias("root_text"),
         F.col("root.name").alias("root_selector"),
         let(
@@ -281,7 +284,7 @@ def person(texts: Column, node: Column, base: Column, start: Column | int = 0) -
 
     def build(n: Column) -> Column:
         return let(
-            absolute_url(base, n["attrs"]["href"]),
+            resolve(base, n["attrs"]["href"]),
             lambda link: F.when(
                 n.isNotNull(),
                 F.struct(
@@ -326,13 +329,14 @@ def catalog_items(pages: DataFrame, timezone: str = K.DEFAULT_TIMEZONE) -> DataF
             F.col("c.s0").alias("s0"),
         )
     )
+    card = card.withColumn("base", split_base(F.col("page_url")))
     nodes, texts, text, s0 = F.col("nodes"), F.col("texts"), F.col("card_text"), F.col("s0")
     staged = card.select(
         *keys, "page_url", "fetched_at", "pos", "id", "title", "url", "kind", "card_text",
         described(texts, nodes, F.col("title"), K.DESCRIPTION_STOP_WORDS, 20, dom.text_of, s0).alias("described"),
         budget_text(texts, nodes, F.replace(text, F.lit("\n"), F.lit(" ")), s0).alias("priced"),
-        person(texts, dom.first(nodes, user_link), F.col("page_url"), s0).alias("customer"),
-        let(dom.first(nodes, IMAGE), lambda n: image_url(n, F.col("page_url"))).alias("image_url"),
+        person(texts, dom.first(nodes, user_link), F.col("base"), s0).alias("customer"),
+        let(dom.first(nodes, IMAGE), lambda n: image_url(n, F.col("base"))).alias("image_url"),
         T.published_text(text).alias("published_raw"),
     )
     return staged.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagelake import constants as K
 from pagelake.functions.text import clean_text, let
-from pagelake.functions.urls import absolute_url
+from pagelake.functions.urls import resolve, split_base
 from pagelake.operators import dom
 
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -67,36 +67,44 @@ def json_ld(ld: Column) -> Column:
 
 
 def links(nodes: Column, texts: Column, base: Column) -> Column:
-    entries = F.transform(
-        dom.select(nodes, dom.match("a", has="href")),
-        lambda n: F.struct(
-            dom.text_of(texts, n).alias("text"),
-            absolute_url(base, n["attrs"]["href"]).alias("url"),
-            clean_text(n["attrs"]["rel"]).alias("rel"),
-        ),
-    )
-    kept = F.filter(entries, lambda e: ~e["url"].rlike("^(javascript:|mailto:)"))
-    return first_by_url(kept)
+    """Links resolved against ``base`` (a ``split_base`` struct), the first one per URL."""
+
+    def build(b: Column) -> Column:
+        entries = F.transform(
+            dom.select(nodes, dom.match("a", has="href")),
+            lambda n: F.struct(
+                dom.text_of(texts, n).alias("text"),
+                resolve(b, n["attrs"]["href"]).alias("url"),
+                clean_text(n["attrs"]["rel"]).alias("rel"),
+            ),
+        )
+        return F.filter(entries, lambda e: ~e["url"].rlike("^(javascript:|mailto:)"))
+
+    return first_by_url(let(base, build))
 
 
 def image_url(node: Column, base: Column) -> Column:
     source = F.coalesce(
         F.nullif(node["attrs"]["src"], F.lit("")), F.nullif(node["attrs"]["data-src"], F.lit(""))
     )
-    return absolute_url(base, source)
+    return resolve(base, source)
 
 
 IMAGE = dom.either(dom.match("img", has="src"), dom.match("img", has="data-src"))
 
 
 def images(nodes: Column, base: Column) -> Column:
+    """Images resolved against ``base``, the first one per URL."""
     return first_by_url(
-        F.transform(
-            dom.select(nodes, IMAGE),
-            lambda n: F.struct(
-                image_url(n, base).alias("url"),
-                clean_text(n["attrs"]["alt"]).alias("alt"),
-                clean_text(n["attrs"]["title"]).alias("title"),
+        let(
+            base,
+            lambda b: F.transform(
+                dom.select(nodes, IMAGE),
+                lambda n: F.struct(
+                    image_url(n, b).alias("url"),
+                    clean_text(n["attrs"]["alt"]).alias("alt"),
+                    clean_text(n["attrs"]["title"]).alias("title"),
+                ),
             ),
         )
     )
@@ -203,8 +211,9 @@ def generic_page(pages: DataFrame, keep_html: bool = False) -> DataFrame:
     keep = [c for c in pages.columns if c != "html" or keep_html]
     parsed = dom.parse_html(pages, keep=keep)
     fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None).cast("timestamp")
-    rooted = parsed.withColumn("root", dom.root_of(*dom.MAIN_OR_BODY))
+    rooted = parsed.withColumns({"root": dom.root_of(*dom.MAIN_OR_BODY), "base": split_base(F.col("url"))})
     inner, texts, url = dom.below(F.col("nodes"), F.col("root")), F.col("texts"), F.col("url")
+    base = F.col("base")
     nodes = F.col("nodes")
     canonical = dom.first_attr(nodes, [dom.match("link", equals=("rel", "canonical"))], "href")
 
@@ -214,14 +223,14 @@ def generic_page(pages: DataFrame, keep_html: bool = False) -> DataFrame:
     record = rooted.select(
         *[c for c in keep if c not in ("fetched_at",)],
         page_title(nodes, texts).alias("title"),
-        absolute_url(url, canonical).alias("canonical_url"),
+        resolve(base, canonical).alias("canonical_url"),
         meta_map(nodes).alias("metadata"),
         scoped(lambda n: headings(n, texts)).alias("headings"),
         scoped(lambda n: texts_of(n, texts, dom.match("p"))).alias("paragraphs"),
         scoped(lambda n: lists(n, texts)).alias("lists"),
         scoped(lambda n: tables(n, texts)).alias("tables"),
-        scoped(lambda n: links(n, texts, url)).alias("links"),
-        scoped(lambda n: images(n, url)).alias("images"),
+        scoped(lambda n: links(n, texts, base)).alias("links"),
+        scoped(lambda n: images(n, base)).alias("images"),
         json_ld(F.col("ld")).alias("json_ld"),
         dom.multiline_text_of(texts, F.col("root")).alias("text"),
         source_struct(url, fetched).alias("source"),
