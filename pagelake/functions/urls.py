@@ -52,7 +52,7 @@ def _assemble(scheme_: Column, authority_: Column, path_: Column, query_: Column
     return F.concat(
         F.when(scheme_.isNotNull() & (scheme_ != ""), F.concat(scheme_, F.lit(":"))).otherwise(""),
         F.when(authority_ != "", F.concat(F.lit("//"), authority_)).otherwise(""),
-        path_,
+        F.when((authority_ != "") & path_.rlike("^[^/]"), F.concat(F.lit("/"), path_)).otherwise(path_),
         F.when(query_ != "", F.concat(F.lit("?"), query_)).otherwise(""),
         F.when(fragment_ != "", F.concat(F.lit("#"), fragment_)).otherwise(""),
     )
