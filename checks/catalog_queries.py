@@ -10,7 +10,7 @@ from checks.render import BASE, table
 from pagelake.functions.urls import split_base
 from pagelake.operators import catalog, crawl, detail, dom, generic, incremental, people, profile, quality
 from pagelake.operators.runs import first_per_key
-from pagelake.session import materialize
+from pagelake.plans import verbs
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -458,14 +458,14 @@ def stored_state(spark: SparkSession, sf: str, found: DataFrame) -> DataFrame:
 
 def crawl_scan(spark: SparkSession, sf: str, stop_after_known: int) -> incremental.IncrementalScan:
     """Rendered catalog to items, filtered to orders, cut, compared with the stored state."""
-    pages = materialize(crawl.traversal_cut(crawl.filter_cards(listing(spark, sf), ["order"])))
-    fields = [f for f in incremental.HASH_FIELDS]
-    found = materialize(incremental.with_hash(catalog.catalog_items(pages), fields)).withColumn("namespace", F.lit("projects"))
+    rows = verbs.crawl_rows(render.catalog_html(spark, sf)).withColumn("namespace", F.lit("projects"))
+    found = rows.filter(F.col("id").isNotNull()).select(
+        "namespace", "page", "pos", "id", "title", "kind", "content_hash"
+    )
     unique = first_per_key(found.select("id", "content_hash", "page", "pos"), F.col("id"), ["page", "pos"])
-    index = pages.select(F.lit("projects").alias("namespace"), "page", "next_url")
+    index = rows.select("namespace", "page", "next_url").distinct()
     return incremental.incremental_scan(
-        found.select("namespace", "page", "pos", "id", "title", "kind", "content_hash"), index,
-        stored_state(spark, sf, unique), stop_after_known=stop_after_known,
+        found, index, stored_state(spark, sf, unique), stop_after_known=stop_after_known
     )
 
 

@@ -108,14 +108,14 @@ def p2(spark, sf):
     )
 
 
+# Local times become instants; of a local hour that occurs twice in autumn the first one is meant.
 @query("c5_ru_datetime", """
-SELECT o_orderkey, strftime(CASE o_orderkey % 6
-  WHEN 0 THEN timezone('UTC', timezone('Europe/Moscow', o_orderdate + INTERVAL 12 HOUR + INTERVAL 30 MINUTE))
-  WHEN 1 THEN timezone('UTC', timezone('Europe/Moscow', o_orderdate + INTERVAL 9 HOUR + INTERVAL 5 MINUTE))
-  WHEN 2 THEN timezone('UTC', timezone('Europe/Moscow', o_orderdate - INTERVAL 1 DAY))
-  WHEN 3 THEN timezone('UTC', timezone('Europe/Moscow', o_orderdate + INTERVAL 10 HOUR - to_minutes(o_orderkey % 500)))
-  WHEN 4 THEN timezone('UTC', timezone('Europe/Moscow', o_orderdate + INTERVAL 10 HOUR - to_days(CAST(7 * (o_orderkey % 9) AS INTEGER))))
-  END, '%Y-%m-%d %H:%M:%S') AS published FROM orders""")
+WITH w AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN o_orderdate + INTERVAL 12 HOUR + INTERVAL 30 MINUTE
+  WHEN 1 THEN o_orderdate + INTERVAL 9 HOUR + INTERVAL 5 MINUTE WHEN 2 THEN o_orderdate - INTERVAL 1 DAY
+  WHEN 3 THEN o_orderdate + INTERVAL 10 HOUR - to_minutes(o_orderkey % 500)
+  WHEN 4 THEN o_orderdate + INTERVAL 10 HOUR - to_days(CAST(7 * (o_orderkey % 9) AS INTEGER)) END AS wall FROM orders)
+SELECT o_orderkey, strftime(least(timezone('UTC', timezone('Europe/Moscow', wall)),
+  timezone('UTC', timezone('Europe/Moscow', wall - INTERVAL 1 HOUR)) + INTERVAL 1 HOUR), '%Y-%m-%d %H:%M:%S') AS published FROM w""")
 def c5(spark, sf):
     o = table(spark, sf, "orders")
     key, date = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")

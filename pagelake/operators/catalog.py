@@ -298,21 +298,28 @@ def person(texts: Column, node: Column, base: Column, start: Column | int = 0) -
     return let(node, build)
 
 
-def catalog_items(pages: DataFrame, timezone: str = K.DEFAULT_TIMEZONE) -> DataFrame:
+def catalog_items(
+    pages: DataFrame, timezone: str = K.DEFAULT_TIMEZONE, keep_pages: bool = False
+) -> DataFrame:
     """One typed record per accepted card.
 
     ``pages`` is the output of ``catalog_pages``; its key columns (everything but the arrays and the
-    diagnostics) stay on each item, with ``source_page_url`` naming the page.
+    diagnostics) stay on each item, with ``page_url`` naming the page.  With ``keep_pages`` a page
+    without items stays as one row without an id, and ``has_next``/``next_url`` stay on every row, so
+    that one table answers questions about both items and pages.
     """
     dropped = {
         "cards", "root_selector", "candidate_links_found", "cards_found", "parsed_count",
         "unknown_kind_count", "missing_required", "warnings", "field_sources", "confidence",
         "page_fingerprint", "next_url", "has_next", "url", "fetched_at",
     }
+    if keep_pages:
+        dropped -= {"next_url", "has_next"}
     keys = [c for c in pages.columns if c not in dropped]
+    each = F.explode_outer if keep_pages else F.explode
     card = (
         pages.select(
-            *keys, F.col("url").alias("page_url"), "fetched_at", F.explode("cards").alias("c")
+            *keys, F.col("url").alias("page_url"), "fetched_at", each("cards").alias("c")
         )
         .select(
             *keys,
