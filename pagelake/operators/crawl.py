@@ -123,22 +123,24 @@ def traversal_cut(
     pages are left out, later pages of the same batch are kept).
     """
     start = start_of(start_page)
-    key = F.col(crawl_key) if crawl_key else F.lit(0)
-    tagged = pages.withColumn("__crawl", key).filter(F.col("page") >= start)
+    visited = pages.filter(F.col("page") >= start)
     if max_pages is not None:
-        tagged = tagged.filter(F.col("page") < start + max_pages)
+        visited = visited.filter(F.col("page") < start + max_pages)
     bad = F.coalesce(failed, F.lit(False)) if failed is not None else F.lit(False)
-    ends = [F.min(F.when(~F.col("has_next") & ~bad, F.col("page"))).alias("__end")]
+    end = F.min(F.when(~F.col("has_next") & ~bad, F.col("page")))
     if failed is not None:
         size = batch_size or 1
         batch = F.floor((F.col("page") - start) / size)
-        ends.append(((F.min(F.when(bad, batch)) + 1) * size + start - 1).alias("__fail_end"))
-    stop = tagged.groupBy("__crawl").agg(*ends)
-    limit = F.least("__end", "__fail_end") if failed is not None else F.col("__end")
+        end = F.least(end, (F.min(F.when(bad, batch)) + 1) * size + start - 1)
+    if crawl_key is None:
+        # A single crawl ends at a single number.
+        last = visited.agg(end.alias("last")).first()["last"]
+        return visited.filter(~bad & (F.lit(True) if last is None else F.col("page") <= last))
+    ends = visited.groupBy(crawl_key).agg(end.alias("__end"))
     return (
-        tagged.join(stop, "__crawl")
-        .filter((limit.isNull() | (F.col("page") <= limit)) & ~bad)
-        .drop("__crawl", "__end", "__fail_end")
+        visited.join(ends, crawl_key)
+        .filter(~bad & (F.col("__end").isNull() | (F.col("page") <= F.col("__end"))))
+        .select(*pages.columns)
     )
 
 

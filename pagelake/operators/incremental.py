@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagelake.functions.hashing import record_hash
 from pagelake.functions.urls import page_number
-from pagelake.operators.runs import previous_value, running_total
+from pagelake.operators.runs import cut_points, previous_value, running_total
 
 # Everything a record holds except where it came from, in sorted order.
 HASH_FIELDS = [
@@ -81,11 +81,13 @@ def incremental_scan(
     else:
         items = items.withColumn("__streak", F.lit(0))
 
+    # One pass over the page numbers alone serves both ordered steps below.
+    cuts = cut_points(items, "page", slices)
     known_state = state.select("id", F.col("content_hash").alias("__state_hash"))
     with_state = items.join(known_state, "id", "left")
     order = ["page", "pos"]
     with_previous = previous_value(
-        with_state, ["namespace", "id"], order, "content_hash", "__earlier", slices
+        with_state, ["namespace", "id"], order, "content_hash", "__earlier", cuts
     )
     judged = with_previous.select(
         *[c for c in with_previous.columns if c not in ("__state_hash", "__earlier")],
@@ -94,7 +96,7 @@ def incremental_scan(
     streaks = running_total(
         judged, ["namespace"], order,
         add=F.col("known").cast("long"), reset=~F.col("known"), name="streak",
-        initial=F.coalesce("__streak", F.lit(0)), slices=slices,
+        initial=F.coalesce("__streak", F.lit(0)), cuts=cuts,
     ).drop("__streak")
     stops = streaks.filter(F.col("streak") >= stop_after_known).groupBy("namespace").agg(
         F.min(F.struct(*order)).alias("__stop")

@@ -135,11 +135,11 @@ def current_failure_runs(events: DataFrame, order: Sequence[str], key: str = "pr
 
 
 def failure_streaks(
-    events: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column, slices: int | None = None
+    events: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column
 ) -> DataFrame:
     """Running count of failures in a row at every event; hot keys are split along the time axis."""
     return running_total(
-        events, keys, order, add=failed.cast("long"), reset=~failed, name="failure_streak", slices=slices
+        events, keys, order, add=failed.cast("long"), reset=~failed, name="failure_streak"
     )
 
 

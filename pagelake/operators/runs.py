@@ -24,24 +24,30 @@ def _axis(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def sliced(df: DataFrame, column: str, slices: int | None = None) -> DataFrame:
-    """Add ``__seg``: the slice of the order axis a row falls into.
+def cut_points(df: DataFrame, column: str, slices: int | None = None) -> list[float]:
+    """Quantiles that cut the order axis into slices of about equal row count.
 
-    The cut points are a few numbers from one approximate-quantile pass over one column.  They are
-    fixed in the plan, so a recomputed task assigns the same slices.
+    One approximate-quantile pass over one column; a few numbers come back.
     """
     parts = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    with_axis = df.withColumn("__axis", _axis(df, column))
-    cuts: list[float] = []
-    if parts > 1:
-        probabilities = [i / parts for i in range(1, parts)]
-        cuts = sorted(set(with_axis.approxQuantile("__axis", probabilities, 0.25 / parts)))
+    if parts <= 1:
+        return []
+    axis = df.select(_axis(df, column).alias("axis"))
+    probabilities = [i / parts for i in range(1, parts)]
+    return sorted(set(axis.approxQuantile("axis", probabilities, 0.25 / parts)))
+
+
+def sliced(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
+    """Add ``__seg``: the slice of the order axis a row falls into.
+
+    The cut points are fixed in the plan, so a recomputed task assigns the same slices.
+    """
     if not cuts:
         return df.withColumn("__seg", F.lit(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
     bucketed = Bucketizer(
         splits=splits, inputCol="__axis", outputCol="__seg", handleInvalid="keep"
-    ).transform(with_axis)
+    ).transform(df.withColumn("__axis", _axis(df, column)))
     return bucketed.drop("__axis")
 
 
@@ -53,14 +59,15 @@ def running_total(
     reset: Column,
     name: str,
     initial: Column | None = None,
-    slices: int | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """Sum of ``add`` since the last row (itself included) where ``reset`` holds.
 
     A reset row starts over with its own ``add``.  ``initial`` is what a key starts with before any
     reset.  ``order`` must be unique within a key; its first column is numeric or a timestamp.
+    ``cuts`` are the cut points of that column, when they are known already.
     """
-    base = sliced(df, order[0], slices).select(
+    base = sliced(df, order[0], cut_points(df, order[0]) if cuts is None else cuts).select(
         "*",
         add.cast("long").alias("__add"),
         F.coalesce(reset, F.lit(False)).alias("__reset"),
@@ -100,10 +107,10 @@ def previous_value(
     order: Sequence[str],
     value: str,
     name: str,
-    slices: int | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """``value`` of the preceding row of the same key; NULL on the first row."""
-    base = sliced(df, order[0], slices)
+    base = sliced(df, order[0], cut_points(df, order[0]) if cuts is None else cuts)
     group = ["__seg", *keys]
     local = Window.partitionBy(*group).orderBy(*order)
     lagged = base.select(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelake.operators import catalog, crawl, incremental, metrics, robots
-from pagelake.operators.runs import previous_value, running_total
+from pagelake.operators.runs import cut_points, previous_value, running_total
 from pagelake.plans import verbs
 from pagelake.session import ensure_checkpoint_dir
 from pagelake.sources import pages as sources
@@ -22,7 +22,7 @@ def test_running_total_equals_a_sequential_walk(spark, slices):
     df = spark.createDataFrame(rows, "k string, at int, ok boolean")
     got = running_total(
         df, ["k"], ["at"], F.col("ok").cast("long"), ~F.col("ok"), "n",
-        initial=F.when(F.col("k") == "hot", 5).otherwise(0), slices=slices,
+        initial=F.when(F.col("k") == "hot", 5).otherwise(0), cuts=cut_points(df, "at", slices),
     )
     expected, run = {}, {"hot": 5}
     for k, at, ok in rows:
@@ -35,7 +35,7 @@ def test_running_total_equals_a_sequential_walk(spark, slices):
 def test_previous_value(spark, slices):
     rows = [("a" if i % 2 else "b", i, None if i % 7 == 0 else str(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, at int, v string")
-    got = {r.at: r.p for r in previous_value(df, ["k"], ["at"], "v", "p", slices).collect()}
+    got = {r.at: r.p for r in previous_value(df, ["k"], ["at"], "v", "p", cut_points(df, "at", slices)).collect()}
     last, expected = {}, {}
     for k, at, v in rows:
         expected[at] = last.get(k)
