@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the Arrow batches that its session hands to Python by rows and by bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return df
+
+
 def words_count(text: Column) -> Column:
     """Number of words between white space; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(NOT_SPACES)), F.lit(0)).cast("long")
@@ -61,11 +68,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), np.uint64(base), dtype=np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out, dtype=np.uint64)
+    """The first ``n`` powers; a worker keeps the longest run of them it has needed."""
+    if len(_POWERS.get(base, ())) < n:
+        out = np.full(max(n, 1 << 20), np.uint64(base), dtype=np.uint64)
+        out[0] = 1
+        with np.errstate(over="ignore"):
+            _POWERS[base] = np.cumprod(out, dtype=np.uint64)
+    return _POWERS[base][:n]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -2,31 +2,56 @@
 
 from __future__ import annotations
 
-from pagelake.llm import exact_dedup, line_dedup, mixing
+from pagelake.llm import chat, decontaminate, exact_dedup, extract, line_dedup, mixing, warc
 from pagelake.llm.common import table
 
 
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark, sf_dir):
+    return warc.captures(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
 def op7_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies"
     )
 
 
+def op8_main_text(spark, sf_dir):
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark, sf_dir):
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_chat_format(spark, sf_dir):
+    return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_warc": op5_warc,
     "op7_source_mixing": op7_source_mixing,
+    "op8_main_text": op8_main_text,
     "op9_line_dedup": op9_line_dedup,
+    "op10_chat_format": op10_chat_format,
 }
 
 SQL = {
+    "op3_decontamination": decontaminate.SQL,
+    "op5_warc": warc.SQL,
+    "op10_chat_format": chat.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
