@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pagelake.llm import chat, decontaminate, exact_dedup, extract, line_dedup, mixing, warc
+from pagelake.llm import chat, decontaminate, exact_dedup, extract, line_dedup, mixing, quality, toxicity, warc
 from pagelake.llm.common import table
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,6 +24,10 @@ def op5_warc(spark, sf_dir):
     )
 
 
+def op6_quality(spark, sf_dir):
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies"
@@ -39,9 +47,11 @@ def op10_chat_format(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc": op5_warc,
+    "op6_quality": op6_quality,
     "op7_source_mixing": op7_source_mixing,
     "op8_main_text": op8_main_text,
     "op9_line_dedup": op9_line_dedup,
