@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pagelake.llm import chat, decontaminate, exact_dedup, extract, line_dedup, mixing, quality, toxicity, warc
+from pagelake.llm import chat, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, toxicity, warc
 from pagelake.llm.common import table
 
 
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ def op10_chat_format(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
@@ -59,6 +64,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_ngram_join": ngram_join.SQL,
     "op3_decontamination": decontaminate.SQL,
     "op5_warc": warc.SQL,
     "op10_chat_format": chat.SQL,
