@@ -1,7 +1,7 @@
 """WARC archives of pages and a two-level capture index over them.
 
-Archives are plain WARC 1.1 files that Spark's text writer lays down in any file system (a record ends
-with two line breaks, which is the writer's line separator). Payloads seen before become ``revisit``
+Archives are WARC 1.1 files, one gzip member per record, that Spark's text writer lays down in any file
+system; its line separator is an empty gzip member, which readers of gzip pass over. Payloads seen before become ``revisit``
 records. The archives are read back with Spark's binary reader, and the records found there fill the
 index: keys of reversed hosts, sorted, cut into compressed blocks, with a sparse directory of first
 keys. A lookup finds the part by the parts' bounds, the block by binary search in the directory of that
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import gzip
 import hashlib
 import re
 import uuid
@@ -29,6 +30,9 @@ from pagelake.session import ensure_checkpoint_dir
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
+#: A gzip member that holds nothing. Fixed value.
+NOTHING = bytes.fromhex("1f8b0800000000000003" "0300" "0000000000000000")
+LEVEL = 3
 ARCHIVE_BYTES = 16 << 20
 BLOCK_KEYS = 500
 
@@ -62,7 +66,7 @@ def record_id(page_id: int | None) -> str:
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """One record without its closing line breaks. The length of the full payload is kept in revisits too."""
+    """One record as a gzip member. The length of the full payload is kept in revisits too."""
     body = b"" if revisit else payload
     head = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id)}",
@@ -73,7 +77,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     if revisit:
         head += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {record_id(refers_to)}"]
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}"]
-    return "\r\n".join(head).encode() + END + body
+    return gzip.compress("\r\n".join(head).encode() + END + body + END, LEVEL, mtime=0)
 
 
 #: A target is stored as it is but for blanks, control characters and the percent sign that marks them.
@@ -99,43 +103,65 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
         .select(F.col("page_id").alias("_id"), F.col("first_id").alias("refers_to"), F.lit(True).alias("revisit"))
         .distinct()
     )
+    # Both sides are dealt to the archives by identifier, so that payloads move once.
+    at = F.coalesce("page_id", F.lit(-(2**63))).alias("_at")
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    rows = base.join(again, base["page_id"].eqNullSafe(again["_id"]), "left").drop("_id")
+    base = small_batches(base).select("*", at).repartition(int(files), "_at")
+    again = again.withColumnRenamed("_id", "page_id").select(at, "refers_to", "revisit").repartition(int(files), "_at")
+    rows = base.join(again, "_at", "left").drop("_at")
 
     def run(batches):
         for batch in in_slices(batches, "html"):
             made = []
             for page_id, url, html, refers_to, revisit in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 payload = (html or "").encode()
-                made.append(record(page_id, url, payload, sha1_base32(payload), refers_to, bool(revisit)).decode())
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], names=["value"])
+                made.append(record(page_id, url, payload, sha1_base32(payload), refers_to, bool(revisit)))
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["value"])
 
-    dealt = rows.repartition(int(files), F.xxhash64("page_id", "url"))
-    dealt.mapInArrow(run, "value string").write.option("lineSep", END.decode()).text(path)
+    records = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    records.write.option("encoding", "ISO-8859-1").option("lineSep", NOTHING.decode("latin-1")).text(path)
 
 
 HEADER = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
 
 
-def records_in(data: bytes) -> Iterator[tuple]:
-    """The records of one archive, in the columns of ``RECORD`` but for the archive's name."""
+def members_in(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, content) of the gzip members of one archive that hold something."""
     at = 0
     while at < len(data):
-        stop = data.index(END, at)
-        head = {k.lower(): v for k, v in HEADER.findall(data, at, stop + 2)}
+        if data.startswith(NOTHING, at):
+            at += len(NOTHING)
+            continue
+        reader = zlib.decompressobj(31)
+        content, left = [], memoryview(data)[at:]
+        size = 0
+        while not reader.eof:
+            piece = left[size:size + (1 << 16)]
+            if not piece:
+                raise ValueError("an archive ends inside a record")
+            content.append(reader.decompress(piece))
+            size += len(piece)
+        size -= len(reader.unused_data)
+        yield at, size, b"".join(content)
+        at += size
+
+
+def records_in(data: bytes) -> Iterator[tuple]:
+    """The records of one archive, in the columns of ``RECORD`` but for the archive's name."""
+    for at, length, content in members_in(data):
+        stop = content.index(END)
+        head = {k.lower(): v for k, v in HEADER.findall(content, 0, stop + 2)}
         size = int(head[b"content-length"])
-        body = data[stop + 4:stop + 4 + size]
+        body = content[stop + 4:stop + 4 + size]
         digest = head[b"warc-payload-digest"].decode().removeprefix("sha1:")
         kind = head[b"warc-type"].decode()
         full = int(head[b"warc-payload-length"]) if kind == "revisit" else size
         url = head.get(b"warc-target-uri")
-        after = stop + 4 + size + len(END)
         yield (
             _page(head[b"warc-record-id"]), None if url is None else unquote(url.decode()), kind,
-            _page(head[b"warc-refers-to"]) if kind == "revisit" else None, full, digest, at, after - at,
-            data[after - 4:after] == END and (kind == "revisit" or sha1_base32(body) == digest),
+            _page(head[b"warc-refers-to"]) if kind == "revisit" else None, full, digest, at, length,
+            content[stop + 4 + size:] == END and (kind == "revisit" or sha1_base32(body) == digest),
         )
-        at = after
 
 
 def _page(name: bytes) -> int | None:
