@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import render
 from checks.render import BASE, table
+from pagelake.functions import urls
 from pagelake.functions.urls import split_base
 from pagelake.operators import catalog, crawl, detail, dom, generic, incremental, people, profile, quality
 from pagelake.operators.runs import first_per_key
@@ -203,10 +204,14 @@ def w8(spark, sf):
     return parsed.select("page_id", found.alias("next_url"))
 
 
-@query("x12_card_finder", ITEMS + "SELECT page, count(*) AS cards, bool_and(starts_with(o_orderkey::VARCHAR, '')) AS own_text FROM items GROUP BY page")
+@query("x12_card_finder", ITEMS + "SELECT page, count(*) AS cards, count(DISTINCT id) AS titles FROM items GROUP BY page")
 def x12(spark, sf):
-    found = items(spark, sf).withColumn("own", F.col("card_text").startswith(F.col("title")) & ~F.substring("card_text", 2, 100000).contains("Item &"))
-    return found.groupBy(F.col("page").cast("long").alias("page")).agg(F.count("*").alias("cards"), F.bool_and("own").alias("own_text"))
+    """Every card holds its own title and no other one."""
+    own = F.col("card_text").startswith(F.col("title")) & (F.locate("Item &", "card_text", 2) == 0)
+    found = items(spark, sf).withColumn("own_id", F.when(own, F.col("id")))
+    return found.groupBy(F.col("page").cast("long").alias("page")).agg(
+        F.count("*").alias("cards"), F.count_distinct("own_id").alias("titles")
+    )
 
 
 @query("p3_type_filter", ITEMS + "SELECT page, id, kind FROM items WHERE kind IN ('vacancy','contest')")
@@ -233,7 +238,7 @@ def p6b(spark, sf):
     return kept.select(F.col("page").cast("long").alias("page"), "id")
 
 
-@query("w1_dedupe_items", ITEMS + "SELECT id, arg_min(page, (page, pos)) AS page, arg_min(pos, (page, pos)) AS pos FROM items GROUP BY id".replace("arg_min(page, (page, pos))", "min(page)").replace("arg_min(pos, (page, pos))", "arg_min(pos, page)"))
+@query("w1_dedupe_items", ITEMS + "SELECT id, min(page) AS page, arg_min(pos, page) AS pos FROM items GROUP BY id")
 def w1(spark, sf):
     return crawl.dedupe_items(items(spark, sf)).select("id", F.col("page").cast("long").alias("page"), F.col("pos").cast("long").alias("pos"))
 
@@ -444,6 +449,59 @@ def a11(spark, sf):
     return crawl.distinct_categories(rows).select("name", "url", "slug", "parent")
 
 
+# ---- many crawls in one table ------------------------------------------------------
+
+BRANDS = """WITH r AS (SELECT p_partkey AS id, replace(lower(p_brand), '#', '-') AS slug,
+  row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS n FROM part), b AS (SELECT id, slug, n // 10 + 1 AS page FROM r) """
+
+
+def brand_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every brand is one category listing of ten parts a page; brands that end in 5 use unknown words."""
+    slug = F.replace(F.lower("p_brand"), F.lit("#"), F.lit("-"))
+    by_brand = Window.partitionBy("p_brand")
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), slug.alias("slug"),
+        F.floor((F.row_number().over(by_brand.orderBy("p_partkey")) - 1) / 10).cast("long").alias("n"),
+        F.ceil(F.count("*").over(by_brand) / 10).cast("long").alias("pages"),
+    )
+    card = F.concat(
+        F.lit('<article><h2><a href="/projects/'), F.col("id").cast("string"), F.lit('/">Part</a></h2><p>'),
+        F.when(F.col("slug").endswith("5"), "Нечто").otherwise("Заказ"), F.lit("</p></article>"),
+    )
+    listed = parts.groupBy("slug", "n", "pages").agg(F.array_join(F.array_sort(F.collect_list(card)), "").alias("cards"))
+    start = F.concat(F.lit(f"{BASE}/projects/category/"), "slug", F.lit("/"))
+    following = F.when(F.col("n") + 1 < F.col("pages"), F.concat(F.lit('<a rel="next" href="'), start, F.lit("page-"), (F.col("n") + 2).cast("string"), F.lit('/">n</a>')))
+    return listed.select(
+        F.when(F.col("n") == 0, start).otherwise(F.concat(start, F.lit("page-"), (F.col("n") + 1).cast("string"), F.lit("/"))).alias("url"),
+        F.concat(F.lit("<body><main>"), "cards", F.coalesce(following, F.lit("")), F.lit("</main></body>")).alias("html"),
+    )
+
+
+@query("w4_many_crawls", BRANDS + "SELECT slug, page, id FROM b WHERE NOT ends_with(slug, '5')")
+def w4_many(spark, sf):
+    found = verbs.projects(brand_pages(spark, sf)).ok
+    return found.select(urls.listing_category(F.col("crawl")).alias("slug"), F.col("page").cast("long").alias("page"), "id")
+
+
+@query("p6_category_filter", BRANDS + "SELECT page, id FROM b WHERE slug = 'brand-13'")
+def p6_category(spark, sf):
+    found = verbs.projects(brand_pages(spark, sf), category="/projects/category/brand-13/").ok
+    return found.select(F.col("page").cast("long").alias("page"), "id")
+
+
+@query("p12_failed_channel", BRANDS + "SELECT DISTINCT slug, page, 'selector_drift' AS error FROM b WHERE ends_with(slug, '5')")
+def p12_failed(spark, sf):
+    failed = verbs.projects(brand_pages(spark, sf)).failed
+    return failed.select(urls.listing_category(F.col("crawl")).alias("slug"), F.col("page").cast("long").alias("page"), F.col("error.kind").alias("error"))
+
+
+@query("p12_people_status", """WITH p AS (SELECT DISTINCT s_suppkey // 30 + 1 AS page FROM supplier)
+SELECT page, 'ok' AS status FROM p UNION ALL SELECT max(page) + 1, 'catalog_end' FROM p""")
+def p12_people(spark, sf):
+    found = people.people_pages(render.people_html(spark, sf))
+    return found.select(F.col("page").cast("long").alias("page"), quality.page_status().alias("status"))
+
+
 # ---- the whole crawl -------------------------------------------------------------
 
 

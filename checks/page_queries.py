@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.render import table
+from checks.render import dealt, table
 from pagelake.functions import hashing, urls
 from pagelake.operators import dom, generic, quality, robots
-from pagelake.session import spread
 from pagelake.sources import pages as sources
 
 QUERIES: dict = {}
@@ -26,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "pages"))
+    return dealt(table(spark, sf, "pages"))
 
 
 def with_status(df: DataFrame) -> DataFrame:
@@ -121,6 +120,30 @@ SELECT page_id, CASE WHEN starts_with(host, 'blog.') THEN {missing} WHEN starts_
   WHEN starts_with(target, '/en/') OR starts_with(target, '/fr/') THEN FALSE ELSE TRUE END AS allowed FROM p"""
 
 
+HOSTS = "WITH h AS (SELECT DISTINCT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host FROM pages) "
+
+
+@query("s6_crawl_delay", HOSTS + "SELECT host, 'b' AS agent, 0::BIGINT AS ord, '/x' AS prefix FROM h")
+def s6_delay(spark, sf):
+    """A delay closes the list of agents, so the rules after it belong to the next agent alone."""
+    files = table(spark, sf, "pages").select(urls.host(F.col("url")).alias("host")).distinct().withColumn(
+        "text", F.lit("User-agent: a\nCrawl-delay: 5\nUser-agent: b\nRequest-rate: 1/5\nDisallow: /x\n")
+    )
+    return robots.rule_rows(robots.robots_rules(files)).select("host", "agent", F.col("ord").cast("long").alias("ord"), "prefix")
+
+
+@query("p10_encoded_paths", "SELECT page_id, page_id % 4 = 3 AS allowed FROM pages")
+def p10_encoded(spark, sf):
+    """Both ways of writing a path are one path; so are escapes in either case."""
+    p = table(spark, sf, "pages")
+    place = F.element_at(F.array(F.lit("/café/"), F.lit("/caf%c3%a9/"), F.lit("/a<d?"), F.lit("/free/")), (F.col("page_id") % 4 + 1).cast("int"))
+    asked = p.select("page_id", F.concat(F.lit("https://"), urls.host(F.col("url")), place, F.col("page_id").cast("string")).alias("url"))
+    files = p.select(urls.host(F.col("url")).alias("host")).distinct().withColumn(
+        "text", F.lit("User-agent: *\nDisallow: /caf%C3%A9/\nDisallow: /a%3Cd\n")
+    )
+    return robots.robots_allowed(asked, robots.robots_rules(files), "crawler").select("page_id", "allowed")
+
+
 @query("p10_robots_allowed", ROBOTS_SQL.format(missing="TRUE"))
 def p10(spark, sf):
     p = table(spark, sf, "pages").select("page_id", "url")
@@ -191,7 +214,7 @@ SELECT a.doc_id, round(CASE WHEN len(list_distinct(list_concat(a.words, b.words)
   ELSE len(list_intersect(a.words, b.words))::DOUBLE / len(list_distinct(list_concat(a.words, b.words))) END, 9) AS similarity
 FROM w a JOIN w b ON b.doc_id = a.doc_id + 1""")
 def e1(spark, sf):
-    d = spread(table(spark, sf, "documents"))
+    d = dealt(table(spark, sf, "documents"))
     words = d.select(
         "doc_id",
         F.array_distinct(F.filter(F.split(F.lower("text"), r"(?U)[\s\x1c-\x1f]+"), lambda x: x != "")).alias("words"),

@@ -59,6 +59,20 @@ def c3(spark, sf):
     return p.select("p_partkey", text.parse_decimal(words).cast("double").alias("number"))
 
 
+@query("c3_exact_numbers", """SELECT p_partkey, (p_partkey + 1) || '234567890123456789.1234500000' AS number, (3000000000 + p_partkey)::VARCHAR AS responses,
+  (5000000000 + p_partkey)::VARCHAR AS page FROM part""")
+def c3_exact(spark, sf):
+    """Numbers beyond what a long or four decimals hold, and counters beyond an int, as text."""
+    key = (F.col("p_partkey") + 1).cast("string")
+    big = F.concat(F.lit("from "), key, F.lit(" 234 567 890 123 456 789,12345 on"))
+    count = F.concat((F.col("p_partkey") + 3_000_000_000).cast("string"), F.lit(" ответов"))
+    link = F.concat(F.lit(f"{BASE}/projects/page-"), (F.col("p_partkey") + 5_000_000_000).cast("string"), F.lit("/"))
+    return table(spark, sf, "part").select(
+        "p_partkey", text.parse_decimal(big).cast("string").alias("number"),
+        text.label_int(count, "responses").cast("string").alias("responses"), urls.page_number(link).cast("string").alias("page"),
+    )
+
+
 def money_text(k: Column, price: Column) -> Column:
     whole = amount(price)
     return (
@@ -101,8 +115,8 @@ def c4(spark, sf):
 SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN hi WHEN lo <> 0 THEN lo ELSE hi END::DOUBLE AS amount FROM m""")
 def p2(spark, sf):
     p = table(spark, sf, "part")
-    low = F.when(F.col("p_partkey") % 4 != 0, F.col("p_size") % 3).cast("decimal(20,4)")
-    m = F.struct(low.alias("amount_min"), F.col("p_size").cast("decimal(20,4)").alias("amount_max"))
+    low = F.when(F.col("p_partkey") % 4 != 0, F.col("p_size") % 3).cast("decimal(38,10)")
+    m = F.struct(low.alias("amount_min"), F.col("p_size").cast("decimal(38,10)").alias("amount_max"))
     return p.select("p_partkey", m.alias("m")).select(
         "p_partkey", money.representative_amount(F.col("m")).cast("double").alias("amount")
     )

@@ -56,7 +56,7 @@ def parse_ru_datetime(value: Column, now: Column, timezone: str = K.DEFAULT_TIME
         seconds = F.lit(None).cast("long")
         for start, size in K.SECONDS_PER_UNIT:
             seconds = F.when(unit.startswith(start), F.lit(size).cast("long")).otherwise(seconds)
-        count = find(folded, K.RELATIVE_DATE, 1).try_cast("int").cast("long")
+        count = find(folded, K.RELATIVE_DATE, 1).try_cast("long")
         micros = F.try_subtract(
             F.unix_micros(local), F.try_multiply(count * seconds, F.lit(1_000_000).cast("long"))
         )

@@ -35,8 +35,9 @@ def parse_int(value: Column) -> Column:
 
 
 def to_decimal(number: Column) -> Column:
+    """28 digits before the point and ten behind it; the text it came from stays beside it in records."""
     plain = F.translate(F.regexp_replace(number, K.WHITESPACE, ""), ",", ".")
-    return plain.try_cast("decimal(20,4)")
+    return plain.try_cast("decimal(38,10)")
 
 
 def parse_decimal(value: Column) -> Column:
@@ -50,7 +51,7 @@ def label(text: Column, name: str) -> Column:
 
 
 def label_int(text: Column, name: str) -> Column:
-    return label(text, name).try_cast("int")
+    return label(text, name).try_cast("long")
 
 
 def contains_any(folded: Column, words: Iterable[str]) -> Column:
@@ -132,13 +133,13 @@ def sentiment(text: Column) -> Column:
 
 def review_counts(text: Column) -> Column:
     """Positive and negative review counters."""
-    found = F.lit(None).cast("struct<positive:int,negative:int>")
+    found = F.lit(None).cast("struct<positive:bigint,negative:bigint>")
     for pattern in reversed(K.REVIEW_COUNTS):
         found = F.when(
             text.rlike(pattern),
             F.struct(
-                F.regexp_extract(text, pattern, 1).try_cast("int").alias("positive"),
-                F.regexp_extract(text, pattern, 2).try_cast("int").alias("negative"),
+                F.regexp_extract(text, pattern, 1).try_cast("long").alias("positive"),
+                F.regexp_extract(text, pattern, 2).try_cast("long").alias("negative"),
             ),
         ).otherwise(found)
     return found

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -213,8 +215,8 @@ def page_number(url: Column) -> Column:
     values = F.filter(query_pairs(url), lambda p: (p["k"] == "page") & (p["v"] != ""))
     from_query = F.get(values, F.lit(0))["v"]
     return F.coalesce(
-        F.when(from_query.rlike(r"^\d+$"), from_query.try_cast("int")),
-        find(path(url), K.PAGE_IN_PATH, 1).try_cast("int"),
+        F.when(from_query.rlike(r"^\d+$"), from_query.try_cast("long")),
+        find(path(url), K.PAGE_IN_PATH, 1).try_cast("long"),
     )
 
 
@@ -229,6 +231,23 @@ def listing_url(base: str, category: Column) -> Column:
     )
 
 
+def listing_key(url: Column) -> Column:
+    """The listing a page belongs to: its URL without page number and fragment."""
+    kept = F.filter(query_pairs(url), lambda p: p["k"] != "page")
+    bare = _assemble(scheme(url), authority(url), F.regexp_replace(path(url), r"/page-\d+(?=/|$)", ""), F.lit(""), F.lit(""))
+    return F.regexp_replace(append_params(bare, kept), r"(?<!/)$", "/")
+
+
+def listing_category(url: Column) -> Column:
+    """Category slug of a listing URL, the inverse of ``listing_url``; NULL for the listing of everything."""
+    return find(path(url), r"/projects/category/(.+?)/?(?:page-\d+/?)?$", 1)
+
+
+def category_slug(category: str) -> str:
+    """The slug behind a category given as slug, path or full URL."""
+    return re.sub(r"^(?:https?://[^/]*)?/*(?:projects/category/)?", "", category).split("?")[0].strip("/")
+
+
 def people_url(base: str, category: Column, page: Column) -> Column:
     """People listing page; only pages after the first carry a number."""
     slug = F.regexp_replace(category, r"^/+|/+$", "")

@@ -76,15 +76,19 @@ def card_marks(nodes: Column) -> Column:
     )
 
 
-def find_card(nodes: Column, marks: Column, anchor: Column) -> Column:
-    """Index of the card an anchor belongs to.
+def headings(nodes: Column) -> Column:
+    return F.filter(nodes, lambda n: n["tag"].isin("h2", "h3"))
+
+
+def find_card(nodes: Column, marks: Column, heads: Column, anchor: Column) -> Column:
+    """Index of the card an anchor belongs to; ``marks`` and ``heads`` are found once per page.
 
     The innermost card, unless main/body comes first; else the parent of the innermost h2/h3; else
     the anchor's own parent.
     """
 
     def decide(mark: Column) -> Column:
-        heading = dom.nearest(F.filter(nodes, lambda n: n["tag"].isin("h2", "h3")), anchor)
+        heading = dom.nearest(heads, anchor)
         holder = F.get(nodes, heading["parent"])
         usable = holder.isNotNull() & ~holder["tag"].isin("main", "body")
         own_parent = F.when(anchor["parent"] >= 0, anchor["parent"]).otherwise(anchor["pre"])
@@ -147,19 +151,20 @@ def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
         lambda n: (n["tag"] == "a") & F.coalesce(n["attrs"]["href"].rlike(K.PROJECT_PATH), F.lit(False)),
     )
 
-    def candidate(anchor: Column, marks: Column) -> Column:
+    def candidate(anchor: Column, marks: Column, heads: Column) -> Column:
         return let(
             resolve(base, anchor["attrs"]["href"]),
             lambda href: F.struct(
                 href.alias("url"),
                 project_id(href).alias("id"),
                 dom.text_of(texts, anchor).alias("title"),
-                find_card(nodes, marks, anchor).alias("card"),
+                find_card(nodes, marks, heads, anchor).alias("card"),
             ),
         )
 
     candidates = let(
-        card_marks(nodes), lambda marks: F.transform(anchors, lambda a: candidate(a, marks))
+        card_marks(nodes),
+        lambda marks: let(headings(nodes), lambda heads: F.transform(anchors, lambda a: candidate(a, marks, heads))),
     )
 
     def accepted(found: Column) -> Column:

@@ -133,28 +133,32 @@ def traversal_cut(
         batch = F.floor((F.col("page") - start) / size)
         end = F.least(end, (F.min(F.when(bad, batch)) + 1) * size + start - 1)
     if crawl_key is None:
-        # A single crawl ends at a single number.
-        last = visited.agg(end.alias("last")).first()["last"]
-        return visited.filter(~bad & (F.lit(True) if last is None else F.col("page") <= last))
+        # A single crawl ends at a single number, which stays a subquery of the plan.
+        last = visited.agg(end.alias("last")).scalar()
+        return visited.filter(~bad & (last.isNull() | (F.col("page") <= last)))
     ends = visited.groupBy(crawl_key).agg(end.alias("__end"))
     return (
-        visited.join(ends, crawl_key)
+        visited.join(ends.withColumnRenamed(crawl_key, "__crawl"), F.col(crawl_key).eqNullSafe(F.col("__crawl")))
         .filter(~bad & (F.col("__end").isNull() | (F.col("page") <= F.col("__end"))))
         .select(*pages.columns)
     )
 
 
-def dedupe_items(items: DataFrame, key: str = "id", order: Sequence[str] = ("page", "pos")) -> DataFrame:
-    """First occurrence of each id in crawl order."""
-    return first_per_key(items, F.col(key), order)
+def dedupe_items(
+    items: DataFrame, key: str = "id", order: Sequence[str] = ("page", "pos"), crawl_key: str | None = None
+) -> DataFrame:
+    """First occurrence of each id in crawl order; of each crawl, if the table holds several."""
+    return first_per_key(items, F.struct(crawl_key, key) if crawl_key else F.col(key), order)
 
 
-def dedupe_people(people: DataFrame, order: Sequence[str] = ("page", "pos")) -> DataFrame:
-    """First occurrence of each person: by user name, else link, else name."""
+def dedupe_people(
+    people: DataFrame, order: Sequence[str] = ("page", "pos"), crawl_key: str | None = None
+) -> DataFrame:
+    """First occurrence of each person (of each crawl): by user name, else link, else name."""
     key = F.coalesce(
         F.nullif("username", F.lit("")), F.nullif("url", F.lit("")), F.col("name"), F.lit("")
     )
-    return first_per_key(people, key, order)
+    return first_per_key(people, F.struct(crawl_key, key) if crawl_key else key, order)
 
 
 def last_page_wins(items: DataFrame, keys: Sequence[str] = ("username", "id")) -> DataFrame:

@@ -148,6 +148,11 @@ class _Tree:
             self.texts.append(clean)
 
 
+def self_closing(raw: str) -> bool:
+    """Whether a start tag ends in a slash of its own; a slash in an unquoted value belongs to the value."""
+    return raw.endswith("/") and ATTRIBUTE.sub("", raw).rstrip().endswith("/")
+
+
 def _attributes(raw: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for m in ATTRIBUTE.finditer(raw):
@@ -182,7 +187,7 @@ def build_tree(html: str) -> _Tree:
                     tree.ld.append(raw)
                 at = end.end() if end else len(html)
                 tree.close(tag)
-            elif tag in VOID or m[3].endswith("/"):
+            elif tag in VOID or self_closing(m[3]):
                 if tree.stack and tree.tag[tree.stack[-1]] == tag:
                     tree.pop_to(len(tree.stack) - 1)
             elif tag == "template":

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pagelake.functions.hashing import record_hash
 from pagelake.functions.urls import page_number
 from pagelake.operators.runs import cut_points, previous_value, running_total
+from pagelake.session import materialize
 
 # Everything a record holds except where it came from, in sorted order.
 HASH_FIELDS = [
@@ -63,6 +64,9 @@ def incremental_scan(
     An item is known when its last stored version, or its earlier occurrence in the same crawl, has
     the same hash.  A run that left a next page resumes there with its streak.  Rows after the stop
     are neither emitted nor counted as seen.
+
+    The walk itself runs here, on the keys, order and hashes alone, which are stored once; the results
+    join them back to the items, read once more for their payload.  ``(namespace, page, pos)`` is unique.
     """
     if isinstance(stop_after_known, bool) or stop_after_known <= 0:
         raise ValueError("stop_after_known must be positive")
@@ -81,11 +85,13 @@ def incremental_scan(
     else:
         items = items.withColumn("__streak", F.lit(0))
 
-    # One pass over the page numbers alone serves both ordered steps below.
-    cuts = cut_points(items, "page", slices)
-    known_state = state.select("id", F.col("content_hash").alias("__state_hash"))
-    with_state = items.join(known_state, "id", "left")
     order = ["page", "pos"]
+    known_state = state.select("id", F.col("content_hash").alias("__state_hash"))
+    with_state = materialize(
+        items.select("namespace", *order, "id", "content_hash", "__streak").join(known_state, "id", "left")
+    )
+    # One pass over the page numbers alone serves both ordered steps below.
+    cuts = cut_points(with_state, "page", slices)
     with_previous = previous_value(
         with_state, ["namespace", "id"], order, "content_hash", "__earlier", cuts
     )
@@ -93,6 +99,7 @@ def incremental_scan(
         *[c for c in with_previous.columns if c not in ("__state_hash", "__earlier")],
         F.coalesce("__earlier", "__state_hash").alias("previous_hash"),
     ).withColumn("known", F.col("previous_hash").eqNullSafe(F.col("content_hash")))
+    judged = materialize(judged)
     streaks = running_total(
         judged, ["namespace"], order,
         add=F.col("known").cast("long"), reset=~F.col("known"), name="streak",
@@ -101,16 +108,23 @@ def incremental_scan(
     stops = streaks.filter(F.col("streak") >= stop_after_known).groupBy("namespace").agg(
         F.min(F.struct(*order)).alias("__stop")
     )
-    rows = (
+    walked = materialize(
         streaks.join(stops, "namespace", "left")
         .withColumn("seen", F.col("__stop").isNull() | (F.struct(*order) <= F.col("__stop")))
         .withColumn("emitted", F.col("seen") & ~F.col("known"))
     )
-    emitted = rows.filter("emitted").drop("__stop", "seen", "emitted")
-    seen = rows.filter("seen").drop("__stop", "emitted", "seen")
+    facts = walked.select("namespace", *order, "previous_hash", "known", "streak", "seen", "emitted")
+    payload = items.drop("__streak")
+    rows = payload.join(facts, ["namespace", *order]).select(*payload.columns, *facts.columns[3:])
+    emitted = payload.join(facts.filter("emitted"), ["namespace", *order]).select(
+        *payload.columns, "previous_hash", "known", "streak"
+    )
+    seen = payload.join(facts.filter("seen"), ["namespace", *order]).select(
+        *payload.columns, "previous_hash", "known", "streak"
+    )
 
     # The checkpoint is the last visited page: the stop page, else the last page of the crawl.
-    ends = rows.filter("seen").groupBy("namespace").agg(
+    ends = walked.filter("seen").groupBy("namespace").agg(
         F.max_by("streak", F.struct(*order)).alias("consecutive_known"),
         F.max("__stop.page").alias("__stop_page"),
     )
@@ -125,6 +139,6 @@ def incremental_scan(
         "namespace", "next_url",
         page_number(F.col("next_url")).alias("next_page"),
         (now if now is not None else F.current_timestamp()).alias("updated_at"),
-        F.coalesce("consecutive_known", F.lit(0)).cast("int").alias("consecutive_known"),
+        F.coalesce("consecutive_known", F.lit(0)).cast("long").alias("consecutive_known"),
     )
-    return IncrementalScan(rows.drop("__stop"), emitted, seen, checkpoint)
+    return IncrementalScan(rows, emitted, seen, checkpoint)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from pagelake import constants as K
 from pagelake.functions.urls import redact_url
-from pagelake.operators.runs import running_total
+from pagelake.operators.runs import cut_points, previous_value, running_total
+from pagelake.session import materialize
 
 
 def _counters() -> list[Column]:
@@ -63,11 +64,20 @@ def latest_latencies(events: DataFrame, order: Sequence[str], samples: int = K.L
 def latest_latencies_by_endpoint(
     events: DataFrame, order: Sequence[str], samples: int = K.LATENCY_SAMPLES
 ) -> DataFrame:
-    """The latest ``samples`` latencies per endpoint; ranks are cut before the shuffle."""
-    latest = Window.partitionBy("endpoint").orderBy(*[F.col(c).desc() for c in order])
+    """The latest ``samples`` latencies per endpoint.
+
+    Every endpoint is dealt to parts that are ranked by themselves; only their latest rows meet, at
+    most ``samples`` from each part, however many a hot endpoint has.
+    """
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    latest = [F.col(c).desc() for c in order]
+    measured = events.filter(F.col("elapsed").isNotNull()).withColumn(
+        "__part", F.pmod(F.xxhash64(*order, "elapsed"), F.lit(parts))
+    )
+    first = F.row_number().over(Window.partitionBy("endpoint", "__part").orderBy(*latest))
     return (
-        events.filter(F.col("elapsed").isNotNull())
-        .withColumn("recency", F.row_number().over(latest))
+        measured.withColumn("__rank", first).filter(F.col("__rank") <= samples).drop("__rank", "__part")
+        .withColumn("recency", F.row_number().over(Window.partitionBy("endpoint").orderBy(*latest)))
         .filter(F.col("recency") <= samples)
     )
 
@@ -172,7 +182,13 @@ def windowed_metrics(events: DataFrame, time: str, size: str, slide: str | None
 
 
 def session_metrics(events: DataFrame, time: str, gap: str, key: str) -> DataFrame:
-    """Bursts of activity per key, separated by ``gap`` without events."""
+    """Bursts of activity per key, separated by ``gap`` without events.
+
+    A batch is cut along the time axis, so no task needs all events of a key; a stream keeps its open
+    sessions as state.
+    """
+    if not events.isStreaming:
+        return _batch_sessions(events, time, gap, key)
     return (
         events.groupBy(F.session_window(time, gap).alias("w"), key)
         .agg(F.count("*").alias("events"))
@@ -180,6 +196,26 @@ def session_metrics(events: DataFrame, time: str, gap: str, key: str) -> DataFra
     )
 
 
+def _batch_sessions(events: DataFrame, time: str, gap: str, key: str) -> DataFrame:
+    pause = F.expr(f"INTERVAL {gap}")
+    # One row per key and moment; the key as text, so that a missing one is a key too.
+    moments = events.filter(F.col(time).isNotNull()).groupBy(
+        F.to_json(F.struct(key)).alias("__key"), F.col(key), F.col(time)
+    ).agg(F.count("*").alias("events"))
+    moments = materialize(moments)
+    cuts = cut_points(moments, time)
+    earlier = previous_value(moments, ["__key"], [time], time, "__earlier", cuts)
+    fresh = F.col("__earlier").isNull() | (F.col(time) > F.col("__earlier") + pause)
+    numbered = running_total(
+        earlier.withColumn("__fresh", fresh), ["__key"], [time], add=F.col("__fresh").cast("long"), reset=F.lit(False),
+        name="__session", cuts=cuts,
+    )
+    return numbered.groupBy("__key", "__session").agg(
+        F.min(time).alias("session_start"), (F.max(time) + pause).alias("session_end"), F.first(key).alias(key),
+        F.sum("events").alias("events"),
+    ).drop("__key", "__session").select("session_start", "session_end", key, "events")
+
+
 def safe_events(events: DataFrame) -> DataFrame:
     """Events as they may be logged: credentials removed from ``url`` and ``proxy``."""
     return events.withColumns(

@@ -9,11 +9,22 @@ from pagelake.functions.text import let
 from pagelake.functions.urls import host, path, query
 
 
+#: Lines that a run of agent names ends at.
+RULE_KEYS = ("allow", "disallow", "crawl-delay", "request-rate")
+
+
+def decoded(value: Column) -> Column:
+    """A path with its percent escapes resolved, so that both ways of writing it compare equal."""
+    strict = F.regexp_replace(F.replace(value, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(strict), value)
+
+
 def robots_rules(files: DataFrame) -> DataFrame:
-    """Ordered rules of each host: ``host, rules`` with ``agents, ord, allow, prefix`` per rule.
+    """Ordered rules of each host: ``host, rules`` with ``agents, ord, allow, prefix, match`` per rule.
 
     ``files`` holds ``host`` and the robots ``text`` of that host.  A group is a run of user-agent
-    lines followed by rules; a blank line also ends it.
+    lines followed by rules; ``Crawl-delay`` and ``Request-rate`` close that run like rules do, and a
+    blank line ends the group.
     """
     lines = F.filter(
         F.transform(
@@ -27,32 +38,34 @@ def robots_rules(files: DataFrame) -> DataFrame:
                 ),
             ),
         ),
-        lambda l: l["key"].isin("blank", "user-agent", "allow", "disallow"),
+        lambda l: l["key"].isin("blank", "user-agent", *RULE_KEYS),
     )
     empty = F.struct(
         F.array().cast("array<string>").alias("agents"),
         F.lit(False).alias("in_rules"),
-        F.array().cast("array<struct<agents:array<string>,ord:int,allow:boolean,prefix:string>>").alias("rules"),
+        F.array().cast("array<struct<agents:array<string>,ord:int,allow:boolean,prefix:string,match:string>>").alias("rules"),
     )
 
     def step(acc: Column, line: Column) -> Column:
         is_agent = line["key"] == "user-agent"
         name = F.array(F.lower(F.split(line["value"], "/")[0]))
         fresh = F.when(acc["in_rules"], name).otherwise(F.concat(acc["agents"], name))
-        is_rule = line["key"].isin("allow", "disallow") & (F.size(acc["agents"]) > 0)
+        is_last = line["key"].isin(*RULE_KEYS) & (F.size(acc["agents"]) > 0)
+        is_rule = is_last & line["key"].isin("allow", "disallow")
         # A rule without a path allows everything.
         rule = F.struct(
             acc["agents"].alias("agents"),
             F.size(acc["rules"]).alias("ord"),
             ((line["key"] == "allow") | (line["value"] == "")).alias("allow"),
             line["value"].alias("prefix"),
+            decoded(line["value"]).alias("match"),
         )
         agents = (
             F.when(is_agent, fresh)
             .when((line["key"] == "blank") & acc["in_rules"], F.array().cast("array<string>"))
             .otherwise(acc["agents"])
         )
-        in_rules = F.when(is_agent | (line["key"] == "blank"), False).otherwise(acc["in_rules"] | is_rule)
+        in_rules = F.when(is_agent | (line["key"] == "blank"), False).otherwise(acc["in_rules"] | is_last)
         rules = F.when(is_rule, F.concat(acc["rules"], F.array(rule))).otherwise(acc["rules"])
         return F.struct(agents.alias("agents"), in_rules.alias("in_rules"), rules.alias("rules"))
 
@@ -79,7 +92,7 @@ def robots_allowed(
         F.when(path(F.col(url)) == "", "/").otherwise(path(F.col(url))),
         F.when(query(F.col(url)) != "", F.concat(F.lit("?"), query(F.col(url)))).otherwise(""),
     )
-    hosted = urls.withColumn("__host", host(F.col(url))).withColumn("__target", target)
+    hosted = urls.withColumn("__host", host(F.col(url))).withColumn("__target", decoded(target))
     joined = hosted.join(rules.select(F.col("host").alias("__host"), "rules"), "__host", "left")
 
     def for_agent(r: Column) -> Column:
@@ -91,7 +104,7 @@ def robots_allowed(
     named = F.filter("rules", for_agent)
     group = let(named, lambda n: F.when(F.size(n) > 0, n).otherwise(F.filter("rules", for_all)))
     hit = F.get(
-        F.filter(group, lambda r: F.col("__target").startswith(r["prefix"]) | (r["prefix"] == "*")), F.lit(0)
+        F.filter(group, lambda r: F.col("__target").startswith(r["match"]) | (r["prefix"] == "*")), F.lit(0)
     )
     allowed = F.when(F.col("rules").isNull(), F.lit(not fail_closed)).otherwise(
         F.coalesce(hit["allow"], F.lit(True))

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 
+MOST_SLICES, QUANTILE_ERROR = 2_000, 1e-4
+
+
 def _axis(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
     if isinstance(kind, (t.TimestampType, t.TimestampNTZType)):
@@ -27,14 +30,15 @@ def _axis(df: DataFrame, column: str) -> Column:
 def cut_points(df: DataFrame, column: str, slices: int | None = None) -> list[float]:
     """Quantiles that cut the order axis into slices of about equal row count.
 
-    One approximate-quantile pass over one column; a few numbers come back.
+    One approximate-quantile pass over one column; a few numbers come back.  The error is fixed, so
+    the sketches that tasks merge have one size whatever the cluster's; slices are at most MOST_SLICES.
     """
-    parts = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_SLICES)
     if parts <= 1:
         return []
     axis = df.select(_axis(df, column).alias("axis"))
     probabilities = [i / parts for i in range(1, parts)]
-    return sorted(set(axis.approxQuantile("axis", probabilities, 0.25 / parts)))
+    return sorted(set(axis.approxQuantile("axis", probabilities, QUANTILE_ERROR)))
 
 
 def sliced(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:

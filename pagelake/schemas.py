@@ -8,7 +8,7 @@ STATE = (
     "source_updated_at timestamp, payload string"
 )
 CHECKPOINT = (
-    "namespace string, next_url string, next_page int, updated_at timestamp, consecutive_known int"
+    "namespace string, next_url string, next_page long, updated_at timestamp, consecutive_known long"
 )
 EVENT = (
     "ts timestamp, request_id string, phase string, method string, url string, attempt int, "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,16 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once on reliable storage, for results with several consumers."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once, for results with several consumers: a Parquet table in the shared folder.
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a plain file scan that has fewer splits than the cluster has cores.
-
-    Only small inputs qualify (one split holds up to ``maxPartitionBytes``), so a large table is
-    never shuffled here.
+    Unlike a row-wise checkpoint it stays prunable. Whoever owns the folder clears it after the run.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

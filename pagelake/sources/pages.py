@@ -9,13 +9,12 @@ from pagelake import constants as K
 from pagelake import schemas
 from pagelake.functions.urls import failure_key
 from pagelake.operators.metrics import safe_events
-from pagelake.session import spread
 
 
 def read_pages(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Parquet table of collected pages."""
     reader = spark.read.schema(schema) if schema else spark.read
-    return spread(reader.parquet(path))
+    return reader.parquet(path)
 
 
 def read_html_folder(spark: SparkSession, path: str) -> DataFrame:

@@ -93,12 +93,12 @@ def listing(spark, first, count, hour=12):
 
 def test_two_incremental_runs(spark, tmp_path):
     state, marks = st.state_table(spark, f"{tmp_path}/state"), st.checkpoint_table(spark, f"{tmp_path}/marks")
-    assert verbs.new_projects(listing(spark, 100, 5), state, marks, batch=1).count() == 15
-    assert verbs.new_projects(listing(spark, 100, 5), state, marks, batch=2).count() == 0
+    assert verbs.new_projects(listing(spark, 100, 5), state, marks, batch=1).ok.count() == 15
+    assert verbs.new_projects(listing(spark, 100, 5), state, marks, batch=2).ok.count() == 0
     # The ids moved on by two: two new items, the first at the end of the crawl.
     fresh = verbs.new_projects(listing(spark, 102, 5), state, marks, batch=3, stop_after_known=500)
-    assert sorted(r.id for r in fresh.collect()) == [115, 116]
-    assert state.read().count() == 17 and marks.read().first().namespace == "projects"
+    assert sorted(r.id for r in fresh.ok.collect()) == [115, 116] and fresh.failed.count() == 0
+    assert state.read().count() == 17 and marks.read().first().namespace == "projects https://m.example.org/projects/"
     known = spark.createDataFrame([(100,), (999,)], "id long")
     assert [r.id for r in state.contains(known).collect()] == [100]
     assert state.lookup(known).filter("content_hash is null").first().id == 999
@@ -115,8 +115,9 @@ def test_early_stop_leaves_a_mark_to_resume_from(spark, tmp_path):
 
 def test_projects_verb(spark):
     found = verbs.projects(listing(spark, 100, 5), page_count=2)
-    assert sorted(r.id for r in found.collect()) == list(range(100, 110))
-    assert verbs.projects(listing(spark, 100, 5), types="contest").count() == 0
+    assert sorted(r.id for r in found.ok.collect()) == list(range(100, 110)) and found.failed.count() == 0
+    none = verbs.projects(listing(spark, 100, 5), types="contest", fail_fast=True)
+    assert none.ok.count() == 0 and none.failed.count() == 0
     report, overall = verbs.health(listing(spark, 100, 5))
     assert report.first().passed == 3 and overall.first().ok
 
@@ -256,3 +257,58 @@ def test_html_folder_and_baseline(spark, tmp_path):
 
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_incremental_scan_reads_each_input_once(spark, tmp_path):
+    items = spark.range(200).selectExpr(
+        "'n' AS namespace", "id div 10 + 1 AS page", "id % 10 AS pos", "id", "'x' AS content_hash", "'p' AS payload")
+    items.write.parquet(f"{tmp_path}/items")
+    spark.range(1, 21).selectExpr("'n' AS namespace", "id AS page", "'u' AS next_url").write.parquet(f"{tmp_path}/pages")
+    items.filter("id % 3 = 0").select("id", "content_hash").write.parquet(f"{tmp_path}/state")
+    read = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("items", "pages", "state")}
+    scan = incremental.incremental_scan(read["items"], read["pages"], read["state"], 5)
+    for result, most in ((scan.emitted, {"items": 1, "pages": 0, "state": 0}), (scan.checkpoints, {"items": 0, "pages": 1, "state": 0})):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        files = result._jdf.queryExecution().executedPlan().toString()
+        assert plan and {n: files.count(f"{tmp_path}/{n}]") for n in read} == most
+    assert scan.emitted.count() == 133 and "payload" in scan.emitted.columns
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_sessions_of_a_hot_key(spark, seed):
+    rng = random.Random(seed)
+    rows = [("hot" if rng.random() < 0.6 else rng.choice(["a", None]), rng.randrange(40_000)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
+    got = sorted((str(r.k), r.session_start.timestamp(), r.session_end.timestamp(), r.events)
+                 for r in metrics.session_metrics(df, "ts", "5 minutes", "k").collect())
+    want = []
+    for key in {k for k, _ in rows}:
+        times = sorted(s for k, s in rows if k == key)
+        runs = [[times[0]]]
+        for t in times[1:]:
+            runs[-1].append(t) if t <= runs[-1][-1] + 300 else runs.append([t])
+        offset = df.filter(F.lit(True)).selectExpr("timestamp_seconds(0) AS z").first().z.timestamp()
+        want += [(str(key), r[0] + offset, r[-1] + 300 + offset, len(r)) for r in runs]
+    assert got == sorted(want)
+
+
+def test_latest_per_endpoint_of_a_hot_endpoint(spark):
+    rows = [("hot", i, float(i)) for i in range(3_000)] + [("cold", i, float(i)) for i in range(5)] + [("hot", 9_999, None)]
+    df = spark.createDataFrame(rows, "endpoint string, ts long, elapsed double")
+    got = metrics.latest_latencies_by_endpoint(df, ["ts"], 1_500)
+    assert sorted((r.endpoint, r.ts) for r in got.collect()) == [("cold", i) for i in range(5)] + [("hot", i) for i in range(1_500, 3_000)]
+    assert got.filter("endpoint = 'hot'").agg(F.min("recency"), F.max("recency")).first() == (1, 1_500)
+
+
+def test_robots_group_ends(spark):
+    text = "User-agent: a\nCrawl-delay: 9\nUser-agent: b\nDisallow: /\n\nUser-agent: c\nDisallow: /caf%C3%A9\nDisallow: /x%zz\n"
+    files = spark.createDataFrame([("h.example", text)], "host string, text string")
+    rules = robots.robots_rules(files)
+
+    def allowed(agent, *paths):
+        df = spark.createDataFrame([(f"http://h.example{p}",) for p in paths], "url string")
+        return {r.url[16:]: r.allowed for r in robots.robots_allowed(df, rules, agent).collect()}
+
+    assert allowed("a/1", "/q") == {"/q": True} and allowed("b", "/q") == {"/q": False}
+    assert allowed("c", "/café", "/caf%c3%a9/1", "/cafe", "/x%zz", "/a+b") == {
+        "/café": False, "/caf%c3%a9/1": False, "/cafe": True, "/x%zz": False, "/a+b": True}
