@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.page_queries import CLASS_SQL, pages, with_status
 from checks.render import table
 from pagelake.operators import incremental, metrics, quality
+from pagelake.session import materialize
 from pagelake.sources import pages as sources
 from pagelake.sources import state as st
 
@@ -249,9 +250,16 @@ NOW_HASH = HASH_SQL.format("o_orderstatus")
 OLD_HASH = HASH_SQL.format("CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE o_orderstatus END")
 
 
+def saved_state(spark: SparkSession, sf: str) -> st.ParquetTable:
+    """The stored state as a table on disk."""
+    saved = st.state_table(spark, st.fresh_folder(spark, "state"))
+    saved.upsert(order_state(spark, sf), 0)
+    return saved
+
+
 @query("s3_state_lookup", f"SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 <> 0 THEN {OLD_HASH} END AS content_hash, o_orderkey % 7 <> 0 AS stored FROM orders")
 def s3(spark, sf):
-    found = order_items(spark, sf).select("id").join(order_state(spark, sf).select("id", "content_hash"), "id", "left")
+    found = saved_state(spark, sf).lookup(order_items(spark, sf).select("id"))
     return found.select("id", "content_hash", F.col("content_hash").isNotNull().alias("stored"))
 
 
@@ -276,31 +284,54 @@ def j2b(spark, sf):
   CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 3 = 0 THEN '{T0}' ELSE '{T1}' END AS last_seen_at,
   CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 3 = 0 THEN {OLD_HASH} ELSE {NOW_HASH} END AS content_hash FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 3 <> 0""")
 def k2(spark, sf):
-    state = order_state(spark, sf)
+    """A second run over a stored state; the same batch is written twice, as a retry would."""
+    state = saved_state(spark, sf)
     seen = order_items(spark, sf).filter(F.col("id") % 3 != 0)
-    records = st.records_for(seen, state, F.lit(T1).cast("timestamp"), F.struct("id", "status"))
-    return st.merge_state(state, records).select(
+    records = materialize(st.records_for(seen, state.read(), F.lit(T1).cast("timestamp"), F.struct("id", "status")))
+    for _ in range(2):
+        state.upsert(records, 1)
+    return state.read().select(
         "id", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("first_seen_at", "last_seen_at")], "content_hash"
     )
 
 
-@query("w7_first_last_seen", """SELECT user_id AS id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen_at, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen_at, arg_max(event_type, ts) AS content_hash FROM events GROUP BY user_id""")
+@query("w7_first_last_seen", f"""SELECT user_id AS id, CASE WHEN bool_or(ts < TIMESTAMP '2024-01-10') THEN '{T0}' ELSE '{T1}' END AS first_seen_at,
+  CASE WHEN bool_or(ts >= TIMESTAMP '2024-01-10') THEN '{T1}' ELSE '{T0}' END AS last_seen_at,
+  arg_max(event_type, event_id + CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN 1000000000000 ELSE 0 END) AS content_hash FROM events GROUP BY user_id""")
 def w7(spark, sf):
+    """Two runs over the users of the events before and after a day; an id comes up many times in each."""
+    state = st.state_table(spark, st.fresh_folder(spark, "state"))
     e = table(spark, sf, "events").select(
-        F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("first_seen_at"), F.col("ts").cast("timestamp").alias("last_seen_at"),
-        F.col("event_type").alias("content_hash"), F.lit(None).cast("timestamp").alias("source_updated_at"), F.col("props").alias("payload"),
+        F.col("user_id").alias("id"), F.col("event_type").alias("content_hash"), F.col("event_id").alias("page"), F.lit(0).alias("pos"),
+        F.col("ts").cast("timestamp").alias("ts"),
     )
-    return st.merge_state(e.filter(F.col("first_seen_at") < "2024-01-10"), e.filter(F.col("first_seen_at") >= "2024-01-10")).select(
+    for batch, (at, seen) in enumerate(((T0, e.filter("ts < '2024-01-10'")), (T1, e.filter("ts >= '2024-01-10'")))):
+        records = st.records_for(seen, state.read(), F.lit(at).cast("timestamp"), F.struct("id"))
+        state.upsert(materialize(records), batch)
+    return state.read().select(
         "id", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("first_seen_at", "last_seen_at")], "content_hash"
     )
 
 
+def saved_checkpoints(spark: SparkSession, sf: str) -> st.ParquetTable:
+    """Three batches of checkpoint writes by time; each batch holds the last write of a namespace in it."""
+    saved = st.checkpoint_table(spark, st.fresh_folder(spark, "checkpoints"))
+    all_writes = checkpoints(spark, sf).withColumn("part", F.ntile(3).over(Window.partitionBy("namespace").orderBy("ts", "next_page")))
+    for batch in (1, 2, 3):
+        saved.upsert(st.latest(all_writes.filter(F.col("part") == batch), "namespace", "ts"), batch)
+    return saved
+
+
+def read_checkpoints(rows: DataFrame) -> DataFrame:
+    return rows.select("namespace", "next_url", "next_page", "consecutive_known")
+
+
 def checkpoints(spark: SparkSession, sf: str) -> DataFrame:
     """Every event as a checkpoint write of its type's namespace."""
     e = table(spark, sf, "events")
     return e.select(
         F.col("event_type").alias("namespace"), F.concat(F.lit("https://market.example.org/projects/page-"), F.col("event_id").cast("string"), F.lit("/")).alias("next_url"),
-        F.col("event_id").cast("int").alias("next_page"), F.col("ts").cast("timestamp").alias("updated_at"), (F.col("user_id") % 20).cast("int").alias("consecutive_known"),
+        F.col("event_id").alias("next_page"), F.col("ts").cast("timestamp").alias("updated_at"), (F.col("user_id") % 20).alias("consecutive_known"),
         "ts",
     )
 
@@ -311,13 +342,13 @@ CHECKPOINT_SQL = """SELECT event_type AS namespace, 'https://market.example.org/
 
 @query("k3_checkpoint_upsert", CHECKPOINT_SQL.format(""))
 def k3(spark, sf):
-    return st.latest(checkpoints(spark, sf), "namespace", "ts").select("namespace", "next_url", F.col("next_page").cast("long").alias("next_page"), F.col("consecutive_known").cast("long").alias("consecutive_known"))
+    return read_checkpoints(saved_checkpoints(spark, sf).read())
 
 
 @query("s4_checkpoint_read", CHECKPOINT_SQL.format("WHERE event_type = 'click'"))
 def s4(spark, sf):
-    current = checkpoints(spark, sf).filter(F.col("namespace") == "click")
-    return st.latest(current, "namespace", "ts").select("namespace", "next_url", F.col("next_page").cast("long").alias("next_page"), F.col("consecutive_known").cast("long").alias("consecutive_known"))
+    wanted = spark.createDataFrame([("click",)], "namespace string")
+    return read_checkpoints(saved_checkpoints(spark, sf).lookup(wanted))
 
 
 @query("s5_payload_decode", """SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'ok' WHEN 1 THEN 'legacy' WHEN 2 THEN 'unsupported' ELSE 'corrupt' END AS decode_status,

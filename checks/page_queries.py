@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.render import dealt, table
 from pagelake.functions import hashing, urls
 from pagelake.operators import dom, generic, quality, robots
+from pagelake.session import materialize
 from pagelake.sources import pages as sources
 
 QUERIES: dict = {}
@@ -190,7 +191,8 @@ d AS (SELECT m.page_id, m.base_id, shared::DOUBLE / (n1.n + n2.n - shared) AS si
 
 
 def drift(spark, sf):
-    tokens = quality.structure(pages(spark, sf)).withColumn("surface", surface())
+    # The pages are parsed once: their tokens are stored, then compared with those of one page per surface.
+    tokens = materialize(quality.structure(pages(spark, sf)).withColumn("surface", surface()))
     baseline = tokens.groupBy("surface").agg(
         F.min_by("tokens", "page_id").alias("tokens"), F.min("page_id").alias("base_id")
     )

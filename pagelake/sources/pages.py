@@ -41,9 +41,9 @@ def read_events(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(schemas.EVENT).format(fmt).load(path)
 
 
-def write_events(events: DataFrame, path: str) -> None:
-    """Append sanitised events as JSON lines."""
-    safe_events(events).write.mode("append").json(path)
+def write_events(events: DataFrame, path: str, batch: int = 0) -> None:
+    """Sanitised events as JSON lines under ``batch=<id>``; writing a batch again replaces it."""
+    safe_events(events).write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch}")
 
 
 def read_baseline(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -78,8 +78,8 @@ def blocked_records(pages: DataFrame, max_bytes: int = K.BLOCKED_BODY_BYTES) ->
     return pages.select(*columns)
 
 
-def quarantine(failed: DataFrame, path: str) -> None:
-    """Failed pages, by kind of failure, under a file-safe key."""
-    failed.withColumn("failure_key", failure_key(F.col("url"))).write.mode("append").partitionBy(
+def quarantine(failed: DataFrame, path: str, batch: int = 0) -> None:
+    """Failed pages, by kind of failure, under a file-safe key; writing a batch again replaces it."""
+    failed.withColumn("failure_key", failure_key(F.col("url"))).write.mode("overwrite").partitionBy(
         "error_kind"
-    ).parquet(path)
+    ).parquet(f"{path.rstrip('/')}/batch={batch}")

@@ -7,6 +7,7 @@ writes one folder that replaces all earlier ones.
 
 from __future__ import annotations
 
+import uuid
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import types as t
 
 from pagelake import constants as K
 from pagelake import schemas
+from pagelake.session import ensure_checkpoint_dir
 
 
 class StateStore(Protocol):
@@ -67,6 +69,11 @@ class ParquetTable:
         return compacted
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared place, for tables that live as long as a run."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def state_table(spark: SparkSession, path: str) -> ParquetTable:
     return ParquetTable(spark, path, schemas.STATE, "id")
 
@@ -75,26 +82,6 @@ def checkpoint_table(spark: SparkSession, path: str) -> ParquetTable:
     return ParquetTable(spark, path, schemas.CHECKPOINT, "namespace")
 
 
-def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
-    """State after seeing ``new``: first time kept, everything else from the newer row.
-
-    ``new`` may hold an id several times (it came up on several pages); the latest one counts.
-    """
-    key, fields = "id", [f.strip().split(" ")[0] for f in schemas.STATE.split(",")]
-    both = old.select(*fields).unionByName(new.select(*fields))
-    payload = F.struct("content_hash", "source_updated_at", "payload")
-    return (
-        both.groupBy(key)
-        .agg(
-            F.min("first_seen_at").alias("first_seen_at"),
-            F.max("last_seen_at").alias("last_seen_at"),
-            F.max_by(payload, "last_seen_at").alias("p"),
-        )
-        .select("id", "first_seen_at", "last_seen_at", "p.*")
-        .select(*fields)
-    )
-
-
 def records_for(items: DataFrame, state: DataFrame, now: Column, payload: Column) -> DataFrame:
     """State rows of seen items, with their first-seen time carried over; one row per id."""
     known = state.select("id", F.col("first_seen_at").alias("__first"))
