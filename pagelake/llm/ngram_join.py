@@ -29,6 +29,8 @@ from pagelake.llm.components import components
 WORDS, PERCENT = 5, 80
 #: Buckets that n-grams are counted in, and how many times the mean makes one crowded.
 BUCKETS, CROWDED = 1 << 20, 8
+#: Parts that copies of one set are dealt to.
+PARTS = 256
 #: Most sets of a key in one tile.
 TILE = 2_000
 #: Most identifiers that are sent to all tasks; beyond, texts are dealt by identifier instead.
@@ -341,8 +343,13 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     crowded[full.column("bucket").to_numpy()] = True
 
     each = first.filter("bucket IS NULL").select("doc_id", "n", "d1", "d2")
-    classes = each.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    members = each.join(classes, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
+    # Classes of equal sets: minima of dealt parts, then of parts, and the same way back, so that a text
+    # that makes up a third of all rows is one row per part where classes meet.
+    each = each.withColumn("part", F.pmod(F.xxhash64("doc_id", "n"), F.lit(PARTS)))
+    of_part = each.filter("n > 0").groupBy("n", "d1", "d2", "part").agg(F.min("doc_id").alias("low"))
+    classes = of_part.groupBy("n", "d1", "d2").agg(F.min("low").alias("rep"))
+    known = of_part.join(classes, ["n", "d1", "d2"]).select("n", "d1", "d2", "part", "rep")
+    members = each.join(known, ["n", "d1", "d2", "part"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
 
     # Equal sets have equal bitmaps and keys, so any of the class will do.
     reps = stored(
