@@ -282,6 +282,19 @@ def a10(spark, sf):
     return quality.surface_report(quality.health_checks(rows))
 
 
+@query("a10_all_surfaces", """WITH p AS (SELECT DISTINCT s_suppkey // 30 + 1 AS page FROM supplier), o AS (SELECT (o_orderkey + 5500000) % 101 <> 0 AS good FROM orders)
+SELECT 'people' AS surface, count(*) + 1 AS pages, count(*) AS passed, false AS ok FROM p
+UNION ALL SELECT 'detail', count(*), count(*), true FROM o WHERE good
+UNION ALL SELECT 'profile', count(*), count(*), true FROM customer""")
+def a10_all(spark, sf):
+    """Reports for people, details and profiles; pages that lack what a record needs fail."""
+    report, _ = verbs.health({
+        "people": render.people_html(spark, sf), "detail": render.detail_html(spark, sf),
+        "profile": render.profile_html(spark, sf).filter("page = 1"),
+    }, site="Market.example")
+    return report.select("surface", "pages", "passed", "ok")
+
+
 # ---- details ------------------------------------------------------------------
 
 DETAIL = "WITH d AS (SELECT *, o_orderkey + 5500000 AS id FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE (o_orderkey + 5500000) % 101 <> 0) "

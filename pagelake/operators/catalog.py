@@ -6,6 +6,9 @@ need no shuffle.  ``catalog_items`` explodes those cards into one typed record p
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +47,20 @@ PRICE = [
     dom.match(cls="b-post__price"),
     dom.match(equals=("itemprop", "price")),
 ]
+
+
+@dataclass(frozen=True)
+class Selectors:
+    """Where a record's texts are looked for, tried in order; give others for pages with other markup."""
+
+    description: Sequence[dom.Match] = tuple(DESCRIPTION)
+    price: Sequence[dom.Match] = tuple(PRICE)
+    title: Sequence[dom.Match] = (
+        dom.match("h1"), dom.match(equals=("itemprop", "name")), dom.match(cls="b-page__title"), dom.match(cls="project-title")
+    )
+
+
+SELECTORS = Selectors()
 USER_LINK = dom.match("a", has="href")
 EXPLICIT_NEXT = dom.either(
     lambda n: (n["tag"] == "a") & F.coalesce(
@@ -237,7 +254,7 @@ def _diagnose(found: DataFrame, end_text: Column) -> DataFrame:
 
 def described(
     texts: Column, nodes: Column, title: Column, stop: list[str], minimum: int, joiner,
-    start: Column | int = 0,
+    start: Column | int = 0, selectors: Selectors = SELECTORS,
 ) -> Column:
     """Description by selector, else the longest paragraph-like text, with its provenance."""
 
@@ -259,11 +276,11 @@ def described(
             F.struct(value.alias("value"), F.lit("css").alias("source")),
         ).otherwise(fallback)
 
-    return let(dom.first_text(texts, nodes, DESCRIPTION, start), choose)
+    return let(dom.first_text(texts, nodes, selectors.description, start), choose)
 
 
 def budget_text(
-    texts: Column, nodes: Column, card_line: Column, start: Column | int = 0
+    texts: Column, nodes: Column, card_line: Column, start: Column | int = 0, selectors: Selectors = SELECTORS
 ) -> Column:
     """Budget snippet by selector, else by text pattern, with its provenance."""
 
@@ -281,7 +298,7 @@ def budget_text(
             )
         )
 
-    return let(dom.first_text(texts, nodes, PRICE, start), choose)
+    return let(dom.first_text(texts, nodes, selectors.price, start), choose)
 
 
 def person(texts: Column, node: Column, base: Column, start: Column | int = 0) -> Column:
@@ -304,7 +321,7 @@ def person(texts: Column, node: Column, base: Column, start: Column | int = 0) -
 
 
 def catalog_items(
-    pages: DataFrame, timezone: str = K.DEFAULT_TIMEZONE, keep_pages: bool = False
+    pages: DataFrame, timezone: str = K.DEFAULT_TIMEZONE, keep_pages: bool = False, selectors: Selectors = SELECTORS
 ) -> DataFrame:
     """One typed record per accepted card.
 
@@ -345,8 +362,8 @@ def catalog_items(
     nodes, texts, text, s0 = F.col("nodes"), F.col("texts"), F.col("card_text"), F.col("s0")
     staged = card.select(
         *keys, "page_url", "fetched_at", "pos", "id", "title", "url", "kind", "card_text",
-        described(texts, nodes, F.col("title"), K.DESCRIPTION_STOP_WORDS, 20, dom.text_of, s0).alias("described"),
-        budget_text(texts, nodes, F.replace(text, F.lit("\n"), F.lit(" ")), s0).alias("priced"),
+        described(texts, nodes, F.col("title"), K.DESCRIPTION_STOP_WORDS, 20, dom.text_of, s0, selectors).alias("described"),
+        budget_text(texts, nodes, F.replace(text, F.lit("\n"), F.lit(" ")), s0, selectors).alias("priced"),
         person(texts, dom.first(nodes, user_link), F.col("base"), s0).alias("customer"),
         let(dom.first(nodes, IMAGE), lambda n: image_url(n, F.col("base"))).alias("image_url"),
         T.published_text(text).alias("published_raw"),

@@ -95,8 +95,10 @@ def health_checks(pages: DataFrame, threshold: float = K.CONFIDENCE_THRESHOLD) -
 
 
 def surface_report(checks: DataFrame) -> DataFrame:
-    """Checks summed up per surface."""
+    """Checks summed up per surface; with fingerprints, how many structures its pages have."""
+    known = "structural_fingerprint" in checks.columns
     return checks.groupBy("surface").agg(
+        *([F.count_distinct("structural_fingerprint").alias("structures")] if known else []),
         F.count("*").alias("pages"),
         F.count_if(F.col("check_status") == "passed").alias("passed"),
         F.count_if(F.col("failure_category") == "selector_drift").alias("drifted"),

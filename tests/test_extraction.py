@@ -95,6 +95,15 @@ def test_descriptions(spark):
         (long_one, "css"), (longer, "text_fallback"), (None, "missing"), (None, "missing")]
 
 
+def test_given_selectors(spark):
+    page = body(offer(1, '<em class="cost">5 $</em><q>short note</q>'), offer(2, '<b class="price">6 $</b>'))
+    own = catalog.Selectors(description=[dom.match("q")], price=[dom.match(cls="cost")], title=[dom.match("h5")])
+    got = verbs.projects(table(spark, ("/projects/", page)), types=[], selectors=own).ok.orderBy("pos").collect()
+    assert [(i.description, i.budget.amount_min, i.field_sources["budget"]) for i in got] == [("short note", 5, "css"), (None, 6, "text_fallback")]
+    one = verbs.project_details(table(spark, ("/projects/1/", body("<h1>Not this</h1><h5>This</h5>"))), selectors=own).ok.first()
+    assert one.title == "This"
+
+
 def test_counters_beyond_an_int(spark):
     page = body(offer(1, "<p>5000000000 ответов, больше 70 просмотров</p>"), offer(9_000_000_000, words="Вакансия (Дом, Двор)"))
     a, b = catalog.catalog_items(catalog.catalog_pages(table(spark, ("/projects/", page)))).orderBy("pos").collect()
