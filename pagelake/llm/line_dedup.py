@@ -78,26 +78,26 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 4)
     # Identifiers with their boilerplate hashes: a document has no more of them than lines.
     flagged = (
         rows.join(spread, "line_hash")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.collect_set("line_hash").alias("_all"),
-             F.collect_set(F.when(~F.col("doc_id").eqNullSafe(F.col("first_id")), F.col("line_hash"))).alias("_cut"))
-        .filter(F.size("_cut") > 0)
+        .groupBy(F.col("doc_id").alias("__id"))
+        .agg(F.collect_set("line_hash").alias("__all"),
+             F.collect_set(F.when(~F.col("doc_id").eqNullSafe(F.col("first_id")), F.col("line_hash"))).alias("__cut"))
+        .filter(F.size("__cut") > 0)
     )
     base = docs.drop("n_lines", "n_removed", "text_before")
-    joined = base.join(flagged, base["doc_id"].eqNullSafe(flagged["_id"]), "left")
+    joined = base.join(flagged, base["doc_id"].eqNullSafe(flagged["__id"]), "left")
     lines = lines_of(F.col("text"))
     only_spread = ~F.exists(
-        lines, lambda x: (_normal(x) != "") & ~F.array_contains(F.col("_all"), _hash(_normal(x)))
+        lines, lambda x: (_normal(x) != "") & ~F.array_contains(F.col("__all"), _hash(_normal(x)))
     )
-    cut = F.when(F.col("_cut").isNotNull(), ~only_spread).otherwise(F.lit(False))
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("_cut"), _hash(_normal(x))))
+    cut = F.when(F.col("__cut").isNotNull(), ~only_spread).otherwise(F.lit(False))
+    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__cut"), _hash(_normal(x))))
     return (
         joined.withColumn("text_before", F.col("text"))
         .withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn("_kept", F.when(cut, kept))
-        .withColumn("n_removed", F.when(F.col("_kept").isNotNull(), F.col("n_lines") - F.size("_kept")).otherwise(0))
-        .withColumn("text", F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col("text")))
-        .drop("_id", "_all", "_cut", "_kept")
+        .withColumn("__kept", F.when(cut, kept))
+        .withColumn("n_removed", F.when(F.col("__kept").isNotNull(), F.col("n_lines") - F.size("__kept")).otherwise(0))
+        .withColumn("text", F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col("text")))
+        .drop("__id", "__all", "__cut", "__kept")
     )
 
 
