@@ -31,6 +31,8 @@ WORDS, PERCENT = 5, 80
 BUCKETS, CROWDED = 1 << 20, 8
 #: Parts that copies of one set are dealt to.
 PARTS = 256
+#: How much wider the bitmaps of sets with crowded keys are.
+WIDE = 8
 #: Most sets of a key in one tile.
 TILE = 2_000
 #: Most identifiers that are sent to all tasks; beyond, texts are dealt by identifier instead.
@@ -75,10 +77,10 @@ def widths(sizes: np.ndarray) -> np.ndarray:
     return 1 << np.maximum(np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), 6)
 
 
-def bitmaps(keys: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """For each row the parities of its members by their low bits."""
+def bitmaps(keys: np.ndarray, bounds: np.ndarray, scale: int = 1) -> list[bytes]:
+    """For each row the parities of its members by their low bits, in ``scale`` times the usual width."""
     size = np.diff(bounds)
-    width = widths(size)
+    width = widths(size) * scale
     start = np.concatenate([[0], np.cumsum(width)])
     rows = row_of(bounds)
     places = start[rows] + (keys & (width[rows] - 1).astype(np.uint64)).astype(np.int64)
@@ -117,9 +119,10 @@ def _crowding(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, crowded: np.ndarray) -> DataFrame:
-    """(doc_id, n, d1, d2, bits, keys, late): per document its bitmap and the keys it meets others under.
+    """(doc_id, n, d1, d2, bits, wide, keys, late): per document its bitmap and the keys it meets others under.
 
-    ``late`` is the number of keys, from the end, that lie in crowded buckets.
+    ``late`` is the number of keys, from the end, that lie in crowded buckets; sets that have some get a
+    second bitmap, ``wide``, because many sets will meet there.
     """
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(crowded))
@@ -136,15 +139,19 @@ def _sets(docs: DataFrame, crowded: np.ndarray) -> DataFrame:
             chosen = order[place < first[rows]]
             lists = np.concatenate([[0], np.cumsum(np.where(n > 0, first, 0))])
             late_in = np.bincount(rows[chosen], late[chosen], len(n)).astype(np.int64)
+            some = np.flatnonzero(late_in)
+            sizes = np.concatenate([[0], np.cumsum(n[some])])
+            own = np.concatenate([keys[bounds[k]:bounds[k + 1]] for k in some]) if len(some) else keys[:0]
+            wide = dict(zip(some.tolist(), bitmaps(own, sizes, WIDE), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n), pa.array(_row_sums(keys, bounds)), pa.array(_row_sums(mix(keys ^ FACTORS[0]), bounds)),
-                 pa.array(bitmaps(keys, bounds), pa.binary()),
+                 pa.array(bitmaps(keys, bounds), pa.binary()), pa.array([wide.get(k) for k in range(len(n))], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(keys[chosen].view(np.int64))), pa.array(late_in)],
-                names=["doc_id", "n", "d1", "d2", "bits", "keys", "late"],
+                names=["doc_id", "n", "d1", "d2", "bits", "wide", "keys", "late"],
             )
 
     rows = small_batches(docs).select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, bits binary, keys array<bigint>, late bigint")
+    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, bits binary, wide binary, keys array<bigint>, late bigint")
 
 
 def _fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -223,7 +230,7 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _first_meetings(meetings: DataFrame) -> DataFrame:
-    """(key, rep, n, leader, n_leader) of keys that several sets have; the leader is the smallest of them.
+    """(key, rep, n, late, leader, n_leader) of keys that several sets have; the leader is the smallest of them.
 
     Keys in crowded buckets take minima before the shuffle and a join that splits; the others, which
     are bounded by what makes a bucket crowded, need one shuffle.
@@ -234,7 +241,7 @@ def _first_meetings(meetings: DataFrame) -> DataFrame:
     late = meetings.filter("late")
     ends = late.groupBy("key").agg(F.min(own).alias("low"), F.max("rep").alias("high"))
     hot = late.join(ends.filter(F.col("low.rep") < F.col("high")), "key")
-    names = ["key", "rep", "n", F.col("low.rep").alias("leader"), F.col("low.n").alias("n_leader")]
+    names = ["key", "rep", "n", "late", F.col("low.rep").alias("leader"), F.col("low.n").alias("n_leader")]
     return cold.filter(F.col("low.rep") < F.col("high")).select(*names).unionByName(hot.select(*names))
 
 
@@ -253,10 +260,11 @@ def _tiles(rows: DataFrame) -> DataFrame:
     return first.unionByName(second).drop("tile")
 
 
-def _tile_pairs(rows: list[tuple]) -> Iterator[tuple]:
-    """Pairs of different components in one tile pair (second, n, rep, component, bits) that the bound lets pass.
+def _tile_pairs(key: int, rows: list[tuple]) -> Iterator[tuple]:
+    """Pairs of different components in one tile pair (second, n, rep, component, bits, keys) that the bound lets pass.
 
-    Rows come in the order of size. Bitmaps of one width stand in one matrix; a set meets all sets of a
+    Under a crowded key, rows have all their crowded ``keys``: a pair counts under the first one they
+    share, not under each. Rows come in the order of size. Bitmaps of one width stand in one matrix; a set meets all sets of a
     width at once.
     """
     n = np.array([r[1] for r in rows])
@@ -266,6 +274,7 @@ def _tile_pairs(rows: list[tuple]) -> Iterator[tuple]:
     matrices = {w: np.stack([np.frombuffer(rows[k][4], np.uint8) for k in np.flatnonzero(length == w)]) for w in np.unique(length)}
     members = {w: np.flatnonzero(length == w) for w in matrices}
     two_tiles = second.any()
+    keys = [frozenset(r[5] or ()) for r in rows]
     for x in range(len(rows)):
         if two_tiles and not second[x]:
             continue
@@ -285,6 +294,8 @@ def _tile_pairs(rows: list[tuple]) -> Iterator[tuple]:
             apart = np.bitwise_count(np.ascontiguousarray(others ^ _fold(mine, width)).view(np.uint64)).sum(axis=1).astype(np.int64)
             m = n[where[ok]]
             for k in where[ok][enough((m + n[x] - apart) // 2, m, n[x])]:
+                if keys[x] and min(keys[x] & keys[int(k)]) != key:
+                    continue
                 a, b = sorted((x, int(k)), key=lambda r: rows[r][2])
                 yield rows[a][2], rows[b][2], int(n[a]), int(n[b])
 
@@ -292,7 +303,10 @@ def _tile_pairs(rows: list[tuple]) -> Iterator[tuple]:
 def _meet_in_tiles(tiles: DataFrame, bits: DataFrame) -> DataFrame:
     """Candidate pairs (a, b, n_a, n_b) of ``tiles``; a task holds one tile pair at a time."""
     kind = dict(tiles.dtypes)["rep"]
-    rows = tiles.join(bits.select("rep", "bits"), "rep")
+    rows = tiles.join(bits.select("rep", F.col("bits").alias("narrow"), "wide", "late_keys"), "rep")
+    rows = rows.withColumn("bits", F.when(F.col("late"), F.col("wide")).otherwise(F.col("narrow"))).withColumn(
+        "keys", F.when(F.col("late"), F.col("late_keys"))
+    )
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "rep")
 
@@ -301,10 +315,10 @@ def _meet_in_tiles(tiles: DataFrame, bits: DataFrame) -> DataFrame:
         for batch in batches:
             for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (key, i, j) != at:
-                    yield from _tile_pairs(held) if held else ()
+                    yield from _tile_pairs(at[0], held) if held else ()
                     at, held = (key, i, j), []
                 held.append(tuple(row))
-        yield from _tile_pairs(held) if held else ()
+        yield from _tile_pairs(at[0], held) if held else ()
 
     def run(batches):
         out: list[tuple] = []
@@ -317,7 +331,7 @@ def _meet_in_tiles(tiles: DataFrame, bits: DataFrame) -> DataFrame:
             yield _pair_batch(out, id_type)
 
     id_type = pa.int64() if kind == "bigint" else pa.int32()
-    return ordered.select("key", "i", "j", "second", "n", "rep", "component", "bits").mapInArrow(
+    return ordered.select("key", "i", "j", "second", "n", "rep", "component", "bits", "keys").mapInArrow(
         run, f"a {kind}, b {kind}, n_a bigint, n_b bigint"
     ).distinct()
 
@@ -354,10 +368,11 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Equal sets have equal bitmaps and keys, so any of the class will do.
     reps = stored(
         _sets(docs, crowded).filter("n > 0").groupBy("n", "d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("keys").alias("keys"), F.first("late").alias("late"))
-        .filter("rep IS NOT NULL").select("rep", "n", "bits", "keys", "late")
+        .agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("wide").alias("wide"), F.first("keys").alias("keys"), F.first("late").alias("late"))
+        .filter("rep IS NOT NULL").select("rep", "n", "bits", "wide", "keys", "late")
     )
-    bits = reps.select("rep", "bits")
+    own_late = F.when(F.col("late") > 0, F.slice("keys", F.size("keys") - F.col("late").cast("int") + 1, F.col("late").cast("int")))
+    bits = reps.select("rep", "bits", "wide", own_late.alias("late_keys"))
     meetings = reps.select("rep", "n", "late", F.size("keys").alias("n_keys"), F.posexplode("keys").alias("place", "key")).select(
         "key", "rep", "n", (F.col("place") >= F.col("n_keys") - F.col("late")).alias("late")
     )
@@ -370,7 +385,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     star_links = stored(_verified(asked, docs))
 
     labels = components(star_links)
-    labelled = shared.select("key", "rep", "n").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+    labelled = shared.select("key", "rep", "n", "late").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
@@ -395,8 +410,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of their component; rows without doc_id stay."""
-    kept = jaccard_components(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left").filter("_kept IS NOT NULL OR doc_id IS NULL").select(*docs.columns)
+    kept = jaccard_components(docs).filter("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("_kept"))
+    kept = kept.distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
 
 
 SQL = r"""
