@@ -23,7 +23,7 @@ def op4_exact_dedup(spark, sf_dir):
 
 
 def op5_warc(spark, sf_dir):
-    return warc.captures(table(spark, sf_dir, "pages")).select(
+    return warc.indexed_captures(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
     )
 

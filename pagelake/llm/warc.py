@@ -5,7 +5,7 @@ system; its line separator is an empty gzip member, which readers of gzip pass o
 records. The archives are read back with Spark's binary reader, and the records found there fill the
 index: keys of reversed hosts, sorted, cut into compressed blocks, with a sparse directory of first
 keys. A lookup finds the part by the parts' bounds, the block by binary search in the directory of that
-part, the captures by binary search in the block, and then cuts the byte range out of the archive.
+part, the captures by binary search in the block, and then reads the byte range at its place in the archive.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import in_slices, small_batches
+from pagelake.llm.common import in_slices, small_batches, stored
 from pagelake.session import ensure_checkpoint_dir
 
 DATE = "2024-01-01T00:00:00Z"
@@ -277,32 +277,106 @@ def lookup(spark: SparkSession, urls: DataFrame, path: str) -> DataFrame:
     wanted = asked.groupBy("part").cogroup(directory.groupBy("part")).applyInPandas(
         blocks_of, "url string, key string, part int, block int"
     )
-    found = wanted.join(spark.read.parquet(f"{path}/blocks").select("part", "block", "data"), ["part", "block"])
+    # A block is unpacked once for all that ask for it.
+    asked = wanted.groupBy("part", "block").agg(F.collect_list(F.struct("url", "key")).alias("asked"))
+    found = asked.join(spark.read.parquet(f"{path}/blocks").select("part", "block", "data"), ["part", "block"])
 
     def search(batches):
         for batch in batches:
             out = []
-            for url, k, data in zip(batch.column("url").to_pylist(), batch.column("key").to_pylist(), batch.column("data"), strict=True):
+            for wanted, data in zip(batch.column("asked").to_pylist(), batch.column("data"), strict=True):
                 lines = [x.split(" ") for x in zlib.decompress(data.as_py()).decode().split("\n")]
                 keys = [unquote(x[0]).encode() for x in lines]
-                for x in lines[bisect.bisect_left(keys, k.encode()):bisect.bisect_right(keys, k.encode())]:
-                    page_id = int(x[1])
-                    out.append((url, None if page_id == -(2**63) else page_id, unquote(x[2]), int(x[3]), int(x[4])))
+                for w in wanted:
+                    k = w["key"].encode()
+                    for x in lines[bisect.bisect_left(keys, k):bisect.bisect_right(keys, k)]:
+                        page_id = int(x[1])
+                        out.append((w["url"], None if page_id == -(2**63) else page_id, unquote(x[2]), int(x[3]), int(x[4])))
             if out:
                 types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                     names=["url", "page_id", "archive", "offset", "length"])
 
-    return found.select("url", "key", "data").mapInArrow(search, "url string, page_id bigint, archive string, offset bigint, length bigint")
+    return found.select("asked", "data").mapInArrow(search, "url string, page_id bigint, archive string, offset bigint, length bigint")
+
+
+def _open(archive: str):
+    """A file of any system Arrow knows, for reads at a place."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", re.sub("^file:/+", "file:///", archive)))
+    return system.open_input_file(name)
+
+
+def _reachable(archives: DataFrame) -> bool:
+    """Whether Python can read at a place in the archives; if not, Spark's reader has to hand them over."""
+    some = archives.limit(1).collect()
+    try:
+        for r in some:
+            _open(r["archive"]).close()
+    except (OSError, ValueError, ImportError):
+        return False
+    return True
 
 
 def read_ranges(spark: SparkSession, hits: DataFrame, path: str) -> DataFrame:
-    """``hits`` of ``lookup`` with the bytes of their records: only archives that are asked for are read on."""
-    data = _archives(spark, path).select(F.col("path").alias("archive"), "content")
-    return hits.join(data, "archive").select(
-        *hits.columns, F.substring("content", F.col("offset").cast("int") + 1, F.col("length").cast("int")).alias("record")
-    )
+    """``hits`` of ``lookup`` with the bytes of their records.
+
+    Hits are grouped by archive, which is opened once; each record is read at its offset, and nothing else.
+    In a file system that only Spark can reach, its reader has no such reads: there the archives are scanned.
+    """
+    if not _reachable(hits.select("archive")):
+        data = _archives(spark, path).select(F.col("path").alias("archive"), "content")
+        return hits.join(data, "archive").select(
+            *hits.columns, F.substring("content", F.col("offset").cast("int") + 1, F.col("length").cast("int")).alias("record")
+        )
+    schema = hits.withColumn("record", F.lit(b"")).schema
+    names = [*hits.columns, "record"]
+
+    def run(batches):
+        at, file = None, None
+        for batch in batches:
+            for some in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                made = []
+                for archive, offset, length in zip(*(some.column(c).to_pylist() for c in ("archive", "offset", "length")), strict=True):
+                    if archive != at:
+                        if file is not None:
+                            file.close()
+                        at, file = archive, _open(archive)
+                    file.seek(offset)
+                    made.append(file.read(length))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(made, pa.binary())], names=names)
+        if file is not None:
+            file.close()
+
+    return hits.repartition("archive").sortWithinPartitions("archive", "offset").mapInArrow(run, schema)
+
+
+def indexed_captures(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:
+    """Write ``pages`` to archives and index them, look every page up, and read the records found by their ranges."""
+    spark = pages.sparkSession
+    path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    write_archives(pages, f"{path}/archives", least_bytes)
+    records = read_archives(spark, f"{path}/archives").select("url", "page_id", "archive", "offset", "length")
+    build_index(stored(records), f"{path}/index")
+    # One address of each key finds all captures of the key.
+    key = F.pandas_udf(lambda s: s.map(url_key), "string")
+    urls = pages.select("url").distinct().groupBy(key("url").alias("key")).agg(F.min("url").alias("url"))
+    hits = stored(lookup(spark, urls, f"{path}/index").select("archive", "offset", "length"))
+    names = [c.split()[0] for c in RECORD.split(", ")]
+    types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for archive, offset, data in zip(*(batch.column(c) for c in ("archive", "offset", "record")), strict=True):
+                for *row, at, length, intact in records_in(data.as_py()):
+                    rows.append((*row, at + offset.as_py(), length, intact, archive.as_py()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+    return small_batches(read_ranges(spark, hits, f"{path}/archives")).mapInArrow(run, RECORD)
 
 
 SQL = r"""

@@ -355,6 +355,19 @@ def test_warc_index_finds_every_capture(spark, tmp_path):
         assert f"body {r['page_id']}".encode() in zlib.decompress(r["record"], 31)
 
 
+@pytest.mark.parametrize("reachable", [True, False])
+def test_warc_query_goes_through_the_index(spark, tmp_path, monkeypatch, reachable):
+    if not reachable:
+        monkeypatch.setattr(warc, "_reachable", lambda archives: False)
+    pages = [*PAGES, (None, "http://a.example.org/x", "<i>"), (8, None, "none"), (9, "https://c.example.com/y", "other")]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = warc.indexed_captures(table, str(tmp_path / "w"))
+    names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "intact"]
+    assert rows_of(got, *names) == rows_of(warc.captures(table, str(tmp_path / "plain")), *names)
+    assert sum(r["n"] for r in spark.read.parquet(str(tmp_path / "w" / "index" / "blocks")).collect()) == len(pages)
+    assert warc.indexed_captures(table.limit(0), str(tmp_path / "none")).count() == 0
+
+
 def test_url_keys():
     assert warc.url_key("HTTP://user@www.Example.com:8080/a/b?c=D#x") == "com,example)/a/b?c=D"
     assert warc.url_key(None) == ")/" and warc.url_key("x.org?q") == "org,x)/?q"
