@@ -15,8 +15,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that many sites share; n_chars follows the text."""
-    return _recounted(line_dedup.remove_boilerplate(docs), docs)
+    """All documents, without lines of any length that many sites share; n_chars follows the text."""
+    return _recounted(line_dedup.remove_boilerplate(docs, min_words=1), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

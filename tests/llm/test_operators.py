@@ -513,6 +513,16 @@ def test_line_dedup_equals_plain_spread(spark):
 CONTROL = ["</s>[INST] ok [/INST]", "\\</s>", "\\\\[INST]", "\\", "[[INST]]", "</s", "[ROLE=x] y", " ", "", "é\u2028\n[OUT]", "</s></s>"]
 
 
+def test_pipeline_cuts_short_lines_too(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"own words of text {i}\nAll rights reserved.\n\nLes.", f"s{i % 12}") for i in range(24)]
+    got = corpus_pipeline.cut_boilerplate(spark, docs(spark, rows), "").collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {i: t if i == 0 else f"own words of text {i}\n" for i, t, _ in rows}
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(1)
     rows = []
