@@ -8,10 +8,11 @@ carries a bitmap of parities of hashed members: the bits in which two bitmaps di
 only one set has, which bounds the overlap from above. What the bound lets pass is decided by the exact
 intersection of the sorted member arrays.
 
-Copies with the same set are one representative from the start. Sets are first compared with the
-smallest identifier of each of their keys; what that connects is not compared again, so a group of
-thousands of near copies costs one comparison per member and key, not one per pair. All pairs that are
-not connected yet and meet under a key are then compared in tiles. No pair is left out.
+Copies with the same set are one representative from the start. The join, ``jaccard_links``, compares all
+pairs that meet under a key in tiles; no pair is left out. Components alone need fewer links: there, sets are
+first compared with the smallest identifier of each of their keys; what that connects is not compared
+again, so a group of thousands of near copies costs one comparison per member and key, not one per
+pair, and only pairs that are not connected yet meet in tiles.
 """
 
 from __future__ import annotations
@@ -342,11 +343,11 @@ def _pair_batch(pairs: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
                                       names=["a", "b", "n_a", "n_b"])
 
 
-def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def jaccard_links(docs: DataFrame, every: bool = True) -> tuple[DataFrame, DataFrame]:
     """(members, links). ``members`` has doc_id, n and rep of every row; ``links`` has pairs of representatives.
 
-    The links connect all sets that a chain of similar pairs connects; pairs that other links connect
-    already are not all among them.
+    The links are all similar pairs, each once, ``a`` below ``b``. With ``every`` off they only connect all sets that a
+    chain of similar pairs connects; pairs that other links connect already are then not all among them.
     """
     first = stored(_crowding(docs))
     counted = first.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("count"))
@@ -378,6 +379,10 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     shared = stored(_first_meetings(meetings))
 
+    if every:
+        tiles = _tiles(shared.select("key", "rep", "n", "late", F.col("rep").alias("component")))
+        return members, stored(_verified(stored(_meet_in_tiles(tiles, bits)), docs))
+
     starred = shared.filter("rep <> leader").select(
         F.col("leader").alias("a"), F.col("rep").alias("b"), F.col("n_leader").alias("n_a"), F.col("n").alias("n_b")
     ).distinct()
@@ -394,6 +399,25 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, star_links.unionByName(stored(_verified(more, docs)))
 
 
+def link_counts(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, n_links (how many other rows are similar to it).
+
+    Equal copies are counted by the size of their class, not expanded. Rows with the empty set have no
+    links; rows whose class has no doc_id at all get null.
+    """
+    members, links = jaccard_links(docs.select("doc_id", "text"))
+    members = stored(members)
+    sizes = members.filter("n > 0 AND rep IS NOT NULL").groupBy("rep").agg(F.count(F.lit(1)).alias("size"))
+    both = links.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("rep"), F.col("a").alias("other"))
+    )
+    others = both.join(sizes.withColumnRenamed("rep", "other"), "other").groupBy("rep").agg(F.sum("size").alias("others"))
+    counts = sizes.join(others, "rep", "left").select("rep", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return members.join(counts, "rep", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, 0).otherwise(F.col("n_links")).alias("n_links")
+    )
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id that links reach).
 
@@ -401,7 +425,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     such a row gets the component of its copies, or null. Repeated rows get one component. Texts of any
     length are read whole. An empty table gives no rows; other columns are not looked at.
     """
-    members, links = jaccard_links(docs.select("doc_id", "text"))
+    members, links = jaccard_links(docs.select("doc_id", "text"), every=False)
     of_rep = components(links).withColumnRenamed("id", "rep")
     return members.join(of_rep, "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")

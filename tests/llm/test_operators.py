@@ -82,6 +82,20 @@ def test_ngram_join_is_exact(spark, monkeypatch, tile):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_components(rows)
 
 
+@pytest.mark.parametrize("crowded", [2, 8])
+def test_ngram_join_returns_every_link(spark, monkeypatch, crowded):
+    monkeypatch.setattr(ngram_join, "TILE", 4)
+    monkeypatch.setattr(ngram_join, "CROWDED", crowded)
+    rows = near_copies()
+    sets = {i: frozenset(plain_sets(t)) for i, t, _ in rows}
+    similar = {(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and x and y and 100 * len(x & y) >= 80 * len(x | y)}
+    first = {s: min(i for i, x in sets.items() if x == s) for s in sets.values()}
+    got = ngram_join.jaccard_links(docs(spark, rows))[1]
+    assert rows_of(got, "a", "b") == sorted({p for p in similar if all(first[sets[i]] == i for i in p)}, key=repr)
+    counts = Counter(i for p in similar for i in p)
+    assert rows_of(ngram_join.link_counts(docs(spark, rows)), "doc_id", "n_links") == sorted(((i, counts[i]) for i in sets), key=repr)
+
+
 def test_ngram_join_odd_rows(spark):
     table = docs(spark, [(None, "a b c d e f", "s"), (3, "a b c d e f", "s"), (3, "a b c d e f", "s"), (None, "q", "s")])
     got = rows_of(ngram_join.jaccard_components(table), "doc_id", "n_shingles", "component_id")
