@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pagelake.llm import chat, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, toxicity, warc
+from pagelake.llm import (
+    centroids, chat, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, toxicity, warc,
+)
 from pagelake.llm.common import table
 
 
@@ -50,6 +52,10 @@ def op10_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -61,6 +67,7 @@ QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
 SQL = {
@@ -68,6 +75,7 @@ SQL = {
     "op3_decontamination": decontaminate.SQL,
     "op5_warc": warc.SQL,
     "op10_chat_format": chat.SQL,
+    "op11_centroid_clustering": centroids.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
