@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pagelake.llm import (
-    centroids, chat, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, toxicity, warc,
+    centroids, chat, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, spelling, toxicity, warc,
 )
 from pagelake.llm.common import table
 
@@ -56,6 +56,10 @@ def op11_centroid_clustering(spark, sf_dir):
     return centroids.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -68,6 +72,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 SQL = {
@@ -76,6 +81,7 @@ SQL = {
     "op5_warc": warc.SQL,
     "op10_chat_format": chat.SQL,
     "op11_centroid_clustering": centroids.SQL,
+    "op12_spelling_variants": spelling.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
