@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pagelake.llm import (
-    centroids, chat, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, spelling, toxicity, warc,
+    centroids, chat, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, spelling, toxicity,
+    vector_join, warc,
 )
 from pagelake.llm.common import table
 
@@ -60,6 +61,10 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_neighbours(spark, sf_dir):
+    return vector_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -73,6 +78,7 @@ QUERIES = {
     "op10_chat_format": op10_chat_format,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_vector_neighbours": op13_vector_neighbours,
 }
 
 SQL = {
@@ -82,6 +88,7 @@ SQL = {
     "op10_chat_format": chat.SQL,
     "op11_centroid_clustering": centroids.SQL,
     "op12_spelling_variants": spelling.SQL,
+    "op13_vector_neighbours": vector_join.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
