@@ -250,7 +250,7 @@ NOW_HASH = HASH_SQL.format("o_orderstatus")
 OLD_HASH = HASH_SQL.format("CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE o_orderstatus END")
 
 
-def saved_state(spark: SparkSession, sf: str) -> st.ParquetTable:
+def saved_state(spark: SparkSession, sf: str) -> st.KeyedTable:
     """The stored state as a table on disk."""
     saved = st.state_table(spark, st.fresh_folder(spark, "state"))
     saved.upsert(order_state(spark, sf), 0)
@@ -313,7 +313,7 @@ def w7(spark, sf):
     )
 
 
-def saved_checkpoints(spark: SparkSession, sf: str) -> st.ParquetTable:
+def saved_checkpoints(spark: SparkSession, sf: str) -> st.KeyedTable:
     """Three batches of checkpoint writes by time; each batch holds the last write of a namespace in it."""
     saved = st.checkpoint_table(spark, st.fresh_folder(spark, "checkpoints"))
     all_writes = checkpoints(spark, sf).withColumn("part", F.ntile(3).over(Window.partitionBy("namespace").orderBy("ts", "next_page")))

@@ -1,8 +1,6 @@
-"""Crawl state: one row per item id, one checkpoint per namespace, kept as Parquet deltas.
+"""Crawl state: one row per item id, one checkpoint per namespace, as keyed tables of a store.
 
-An upsert appends one ``batch=<id>`` folder; reading keeps the latest row per key.  Writing the same
-batch again replaces its own folder, so a retried or replayed batch changes nothing.  ``compact``
-writes one folder that replaces all earlier ones.
+Tables of one folder share a commit log: what a batch changes in them becomes visible at once.
 """
 
 from __future__ import annotations
@@ -12,61 +10,21 @@ from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as t
 
 from pagelake import constants as K
 from pagelake import schemas
 from pagelake.session import ensure_checkpoint_dir
+from pagelake.sources.store import KeyedTable, Store, latest
 
 
 class StateStore(Protocol):
     """What the incremental jobs need from a store."""
 
-    def read(self) -> DataFrame: ...
+    def read(self, before: int | None = None) -> DataFrame: ...
 
-    def upsert(self, rows: DataFrame, batch: int) -> None: ...
-
-
-def latest(rows: DataFrame, key: str, version: str) -> DataFrame:
-    """Latest row per key; partially aggregated before the shuffle, so a hot key is no problem."""
-    payload = F.struct(*[F.col(c) for c in rows.columns if c not in (key, version)])
-    return rows.groupBy(key).agg(F.max_by(payload, version).alias("v")).select(key, "v.*")
-
-
-class ParquetTable:
-    """Keyed table of Parquet deltas; the last batch wins per key."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: str) -> None:
-        self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-
-    def _deltas(self) -> DataFrame:
-        full = t.StructType.fromDDL(self.schema).add("batch", "long")
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(root):
-            return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).option("basePath", self.path).parquet(self.path)
-
-    def read(self) -> DataFrame:
-        return latest(self._deltas(), self.key, "batch")
+    def lookup(self, keys: DataFrame, before: int | None = None) -> DataFrame: ...
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
-        """Stored rows of the given keys, NULL where there are none."""
-        return keys.join(self.read(), self.key, "left")
-
-    def contains(self, keys: DataFrame) -> DataFrame:
-        """The given keys that are stored."""
-        return keys.join(self._deltas().select(self.key), self.key, "left_semi")
-
-    def upsert(self, rows: DataFrame, batch: int) -> None:
-        names = t.StructType.fromDDL(self.schema).names
-        rows.select(*names).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
-
-    def compact(self, target: str) -> ParquetTable:
-        """The current content as batch 0 of a new table."""
-        compacted = ParquetTable(self.spark, target, self.schema, self.key)
-        compacted.upsert(self.read(), 0)
-        return compacted
+    def upsert(self, rows: DataFrame, batch: int) -> None: ...
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
@@ -74,12 +32,20 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def state_table(spark: SparkSession, path: str) -> ParquetTable:
-    return ParquetTable(spark, path, schemas.STATE, "id")
+def state_table(spark: SparkSession, path: str) -> KeyedTable:
+    return Store(spark, path).table("state", schemas.STATE, "id")
 
 
-def checkpoint_table(spark: SparkSession, path: str) -> ParquetTable:
-    return ParquetTable(spark, path, schemas.CHECKPOINT, "namespace")
+def checkpoint_table(spark: SparkSession, path: str) -> KeyedTable:
+    """Checkpoints of crawls; under the path of a state table they are committed together with it."""
+    return Store(spark, path).table("checkpoints", schemas.CHECKPOINT, "namespace")
+
+
+def commit_together(batch: int, rows: dict[KeyedTable, DataFrame]) -> None:
+    """One commit for the tables of each folder, in the order given."""
+    stores = {table.store.path: table.store for table in rows}
+    for path, store in stores.items():
+        store.commit(batch, {table: df for table, df in rows.items() if table.store.path == path})
 
 
 def records_for(items: DataFrame, state: DataFrame, now: Column, payload: Column) -> DataFrame:
@@ -132,3 +98,9 @@ def decode_payload(value: Column) -> Column:
     """The record inside an envelope, or the bare record, as JSON text; NULL when unusable."""
     status = decode_status(value)
     return F.when(status == "ok", F.get_json_object(value, "$.payload")).when(status == "legacy", value)
+
+
+__all__ = [
+    "KeyedTable", "StateStore", "Store", "checkpoint_table", "commit_together", "decode_payload", "decode_status",
+    "encode_payload", "fresh_folder", "latest", "records_for", "state_table",
+]

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pagelake import constants as K
 from pagelake.operators import catalog, detail, incremental, metrics, quality
-from pagelake.sources.state import ParquetTable, latest, records_for
+from pagelake.sources.state import KeyedTable, records_for
 
 log = logging.getLogger(__name__)
 
@@ -51,7 +51,7 @@ def live_sessions(events: DataFrame, gap: str, key: str, delay: str = "10 minute
 
 def detect_changes(
     items: DataFrame,
-    state: ParquetTable,
+    state: KeyedTable,
     emit: str,
     checkpoint: str,
     payload: Callable[[], Column],
@@ -66,8 +66,8 @@ def detect_changes(
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            # A replay must not see what its own first try already stored.
-            before = latest(state._deltas().filter(F.col("batch") != batch_id), state.key, "batch")
+            # A replay must not see what its own first try already stored; only buckets of this batch's ids are read.
+            before = state.lookup(batch.select("id").distinct(), batch_id).filter(F.col("content_hash").isNotNull())
             newest = batch.groupBy("id").agg(
                 F.max_by(F.struct(*[c for c in batch.columns if c != "id"]), F.struct("page", "pos")).alias("r")
             ).select("id", "r.*")
