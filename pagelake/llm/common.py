@@ -36,6 +36,14 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, with as many underscores before it as make it a new column name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
 def words_count(text: Column) -> Column:
     """Number of words between white space; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(NOT_SPACES)), F.lit(0)).cast("long")
