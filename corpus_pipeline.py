@@ -10,27 +10,48 @@ from pagelake.llm.common import stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the toxicity threshold; labels come from ``labels`` and the texts of ``documents``."""
-    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels")).select(*docs.columns)
+    """Documents scored below the toxicity threshold; the models learn from ``labels`` and the texts of ``documents``.
+
+    Null, empty and wordless texts have no evidence and stay; very long ones are scored whole; repeated rows alike.
+    With too few labels of a class to fit a model all documents stay. An empty table gives no rows; columns of any
+    name pass through.
+    """
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines of any length that many sites share; n_chars follows the text."""
-    return _recounted(line_dedup.remove_boilerplate(docs, min_words=1), docs)
+    """All documents, without lines of any length that many sites share; n_chars follows the text.
+
+    Null texts stay null, empty ones empty. The first document of a line keeps it, of equal identifiers all rows do.
+    An empty table gives no rows; columns of any name pass through.
+    """
+    return _recounted(line_dedup.cut_boilerplate(docs), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every group of similar ones."""
+    """The document with the smallest doc_id of every group of similar ones.
+
+    Null and empty texts are similar to nothing and stay. Rows that repeat a doc_id stay or go together. An empty
+    table gives no rows; columns of any name pass through.
+    """
     return ngram_join.one_of_each(docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages; those that are mostly benchmark go. n_chars follows the text."""
+    """Documents without benchmark passages; those that are mostly benchmark go. n_chars follows the text.
+
+    Null and empty texts are hit by nothing and stay, and so does every document where ``benchmark`` is empty. An
+    empty table gives no rows; columns of any name pass through.
+    """
     return _recounted(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes: doc_id, source, size, source_size, target, copies, taken."""
+    """How many words of each document the mix takes: doc_id, source, size, source_size, target, copies, taken.
+
+    Null and empty texts have size 0 and are never taken; a null source is a source of its own. An empty table gives
+    no rows; other columns are not looked at.
+    """
     return mixing.mix(docs)
 
 
