@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pagelake.llm.common import NOT_SPACES, stored, words_count
 
 BLOCK = 128
-UNIT = "struct<draw:bigint,doc_id:bigint,size:bigint,words:double>"
+#: What is rounded: a document with its draw, size, and the words of it that are not settled.
+UNIT = "struct<draw:bigint,doc_id:{id},size:bigint,words:double>"
 
 
 def targets(sizes: DataFrame, budget: float, weights: list[float], most: float) -> DataFrame:
@@ -79,9 +80,9 @@ def _step(state: Column, unit: Column) -> Column:
     return F.struct(stays.alias("open"), F.concat(state["done"], F.array(settled)).alias("done"))
 
 
-def _fold(units: Column) -> Column:
-    """(open, done) of one block: its first unit meets all others in turn."""
-    start = F.struct(F.element_at(units, 1).alias("open"), F.array().cast(f"array<{UNIT}>").alias("done"))
+def _fold(units: Column, unit: str) -> Column:
+    """(open, done) of one block of structs of type ``unit``: its first unit meets all others in turn."""
+    start = F.struct(F.element_at(units, 1).alias("open"), F.array().cast(f"array<{unit}>").alias("done"))
     return F.aggregate(F.slice(units, 2, F.size(units)), start, _step)
 
 
@@ -110,7 +111,7 @@ def mix(
     is_open = (F.col("_words") > 1e-9) & (F.col("size") > 0)
     closed = each.filter(~is_open).select("doc_id", "source", "size", F.col("size") * F.lit(0.0).alias("words"))
     unit = F.struct(
-        F.col("_draw").alias("draw"), F.col("doc_id").cast("long").alias("doc_id"), F.col("size"),
+        F.col("_draw").alias("draw"), "doc_id", F.col("size"),
         F.col("_words").alias("words"),
     )
     level = each.filter(is_open).select("source", unit.alias("unit"))
@@ -124,7 +125,7 @@ def mix(
         folded = stored(
             level.groupBy("source", block.alias("block"))
             .agg(F.array_sort(F.collect_list("unit")).alias("units"))
-            .select("source", _fold(F.col("units")).alias("f"))
+            .select("source", _fold(F.col("units"), UNIT.format(id=dict(docs.dtypes)["doc_id"])).alias("f"))
         )
         done.append(
             folded.select("source", F.explode("f.done").alias("u")).select("u.doc_id", "source", "u.size", "u.words")

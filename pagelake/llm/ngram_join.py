@@ -331,7 +331,7 @@ def _meet_in_tiles(tiles: DataFrame, bits: DataFrame) -> DataFrame:
         if out:
             yield _pair_batch(out, id_type)
 
-    id_type = pa.int64() if kind == "bigint" else pa.int32()
+    id_type = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "string": pa.string()}.get(kind, pa.int64())
     return ordered.select("key", "i", "j", "second", "n", "rep", "component", "bits", "keys").mapInArrow(
         run, f"a {kind}, b {kind}, n_a bigint, n_b bigint"
     ).distinct()

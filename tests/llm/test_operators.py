@@ -555,3 +555,15 @@ def test_escaping_hides_every_control_string():
         assert chat.unescape(hidden, control) == text
         for m in control.finditer(hidden):
             assert m[1]
+
+
+# ---- identifiers that are texts ------------------------------------------------------------------
+
+
+def test_text_identifiers_in_joins_and_mixes(spark):
+    named = [(f"d{i:03d}", t, s) for i, (_, t, s) in enumerate(near_copies())]
+    table = spark.createDataFrame([(i, t, "en", s, 0, "x", "y") for i, t, s in named], DOCS.replace("doc_id bigint", "doc_id string"))
+    assert rows_of(ngram_join.jaccard_components(table), "doc_id", "n_shingles", "component_id") == plain_components(named)
+    assert ngram_join.link_counts(table).count() == len(named)
+    mixed = mixing.mix(table).collect()
+    assert sorted(r["doc_id"] for r in mixed) == sorted(i for i, _, _ in named)
