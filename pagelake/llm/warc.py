@@ -350,7 +350,9 @@ def read_ranges(spark: SparkSession, hits: DataFrame, path: str) -> DataFrame:
         if file is not None:
             file.close()
 
-    return hits.repartition("archive").sortWithinPartitions("archive", "offset").mapInArrow(run, schema)
+    # A hit is small but pulls a whole record: as many tasks as archives, whatever the hits themselves weigh.
+    archives = hits.select("archive").distinct().count()
+    return hits.repartition(max(1, archives), "archive").sortWithinPartitions("archive", "offset").mapInArrow(run, schema)
 
 
 def indexed_captures(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:
