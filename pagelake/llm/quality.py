@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelake.llm.common import (
-    IS_BREAK, held_out, in_slices, mix, row_of, small_batches, text_bytes, word_hashes,
+    IS_BREAK, held_out, in_slices, mix, row_of, small_batches, stored, text_bytes, word_hashes,
 )
 from pagelake.llm.extract import STOP
 
@@ -194,9 +194,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: i
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
         .withColumn("h", F.xxhash64("doc_id", F.lit(11))).orderBy("h", "doc_id").limit(most_rows)
     )
-    got = _stat_rows(docs.select("doc_id", "text").join(known, "doc_id")).orderBy("h").toArrow()
+    # At most ``most_rows`` identifiers are sent to the texts, and as many rows of statistics come back; ties of
+    # repeated identifiers are ordered by what the rows hold, so that equal tables give equal trees.
+    got = _stat_rows(docs.select("doc_id", "text").join(F.broadcast(stored(known)), "doc_id")).toArrow()
     if not got.num_rows:
         return grow(np.zeros((0, len(NAMES))), np.zeros(0))
+    rank = sorted(range(got.num_rows), key=lambda i: (got["h"][i].as_py(), got["x"][i].as_py()))
+    got = got.take(rank)
     x = got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(NAMES))
     return grow(x, got.column("y").to_numpy().astype(float))
 
