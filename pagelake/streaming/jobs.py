@@ -9,9 +9,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from pagelake import constants as K
 from pagelake.operators import catalog, detail, incremental, metrics, quality
@@ -82,6 +82,81 @@ def detect_changes(
     return _start(writer, once)
 
 
+CHANGES = (
+    "id long, change string, content_hash string, previous_hash string, first_seen_at timestamp, last_seen_at timestamp"
+)
+
+
+class ChangeTracker(StatefulProcessor):
+    """Per id: the hash last seen, since when the id is known, and a timer that forgets ids that stay away."""
+
+    def __init__(self, keep_seconds: int) -> None:
+        self.keep = keep_seconds * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "content_hash string, first_seen_at timestamp, last_seen_at timestamp")
+
+    def _after(self, at) -> int:
+        return int(at.timestamp() * 1000) + self.keep
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+
+        known = self.seen.get() if self.seen.exists() else None
+        hash_, first, last = known if known else (None, None, None)
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values(["fetched_at", "page", "pos"], kind="stable")
+        out = []
+        for at, content in zip(arrived["fetched_at"].dt.to_pydatetime(), arrived["content_hash"], strict=True):
+            # An older copy that comes late neither counts as a change nor moves the state back.
+            if last is not None and at < last:
+                continue
+            before, hash_, last, first = hash_, content, at, first or at
+            if before != content:
+                out.append((key[0], "new" if before is None else "changed", content, before, first, at))
+        if hash_ is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.seen.update((hash_, first, last))
+            self.handle.registerTimer(self._after(last))
+        if out:
+            yield pd.DataFrame(out, columns=CHANGE_NAMES)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import pandas as pd
+
+        hash_, first, last = self.seen.get()
+        self.seen.clear()
+        yield pd.DataFrame([(key[0], "gone", None, hash_, first, last)], columns=CHANGE_NAMES)
+
+    def close(self) -> None:
+        pass
+
+
+CHANGE_NAMES = [c.split()[0] for c in CHANGES.split(", ")]
+
+
+def track_changes(items: DataFrame, keep_seconds: int = 30 * 86_400, delay: str = "1 day") -> DataFrame:
+    """Changes of every id as a stream: ``new``, ``changed``, and ``gone`` once it stayed away for ``keep_seconds``.
+
+    ``items`` carry ``id, page, pos, content_hash, fetched_at``. The state of an id lives in Spark's own keyed state store, which
+    must be the RocksDB provider (``keyed_state``), so a batch touches the ids it holds and no others. Time is that of the
+    pages: an id is forgotten when the watermark passes.
+    """
+    rows = items.select("id", "page", "pos", "content_hash", "fetched_at").withWatermark("fetched_at", delay)
+    return rows.groupBy("id").transformWithStateInPandas(
+        ChangeTracker(keep_seconds), outputStructType=CHANGES, outputMode="append", timeMode="EventTime")
+
+
+def keyed_state(spark: SparkSession) -> SparkSession:
+    """Choose the state store that keyed processors need; before the first query with one."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return spark
+
+
 def extract_details(
     pages: DataFrame, ok_path: str, failed_path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
