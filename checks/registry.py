@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from checks import catalog_queries, event_queries, page_queries, scalar_queries
+from checks import catalog_queries, event_queries, page_queries, scalar_queries, stream_queries
 
-MODULES = [scalar_queries, page_queries, event_queries, catalog_queries]
+MODULES = [scalar_queries, page_queries, event_queries, catalog_queries, stream_queries]
 flagship = catalog_queries.flagship
 
 

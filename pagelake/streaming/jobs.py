@@ -98,7 +98,10 @@ class ChangeTracker(StatefulProcessor):
         self.seen = handle.getValueState("seen", "content_hash string, first_seen_at timestamp, last_seen_at timestamp")
 
     def _after(self, at) -> int:
-        return int(at.timestamp() * 1000) + self.keep
+        import pandas as pd
+
+        # Stored times have no zone and mean UTC, whatever the zone of the worker.
+        return int(pd.Timestamp(at).timestamp() * 1000) + self.keep
 
     def handleInputRows(self, key, rows, timerValues):
         import pandas as pd
@@ -107,7 +110,7 @@ class ChangeTracker(StatefulProcessor):
         hash_, first, last = known if known else (None, None, None)
         arrived = pd.concat(list(rows), ignore_index=True).sort_values(["fetched_at", "page", "pos"], kind="stable")
         out = []
-        for at, content in zip(arrived["fetched_at"].dt.to_pydatetime(), arrived["content_hash"], strict=True):
+        for at, content in zip(arrived["fetched_at"].tolist(), arrived["content_hash"], strict=True):
             # An older copy that comes late neither counts as a change nor moves the state back.
             if last is not None and at < last:
                 continue
