@@ -146,8 +146,11 @@ def row_of(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
-def in_slices(batches, text: str, most_bytes: int = 4_000_000):
-    """Cut record batches so that the texts of a slice stay near ``most_bytes``; one row is never cut."""
+def in_slices(batches, text: str, most_bytes: int = 1_000_000):
+    """Cut record batches so that the texts of a slice stay near ``most_bytes``; one row is never cut.
+
+    Hashing holds about ten arrays of eight bytes per byte of text, in every worker of an executor.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
