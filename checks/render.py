@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """The given tables come as one row group each; deal their rows to all cores before parsing."""
+    """Rendered pages leave joins and groups in a few partitions; deal them to all cores, as files of a page table would be."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
@@ -72,7 +72,7 @@ def orders_with_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"
     ).join(nation, "c_nationkey")
-    return dealt(table(spark, sf_dir, "orders")).join(people, "o_custkey")
+    return table(spark, sf_dir, "orders").join(people, "o_custkey")
 
 
 def listing_page_url(page: Column) -> Column:
@@ -151,7 +151,7 @@ def catalog_html(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit('/">Следующая</a>'),
         ),
     ).otherwise("")
-    return bodies.select(
+    return dealt(bodies).select(
         "page",
         listing_page_url(F.col("page")).alias("url"),
         F.concat(
@@ -183,7 +183,7 @@ def detail_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<p>Опубликован "), date_text(F.col("o_orderdate")), F.lit(" в 12:30</p><p>Последнее изменение: "),
         date_text(F.col("o_orderdate")), F.lit(" в 13:10</p><div>"), (key % 50).cast("string"), F.lit(" ответов</div></main></body></html>"),
     )
-    return orders_with_people(spark, sf_dir).filter((key + ITEM_OFFSET) % 101 != 0).select(
+    return dealt(orders_with_people(spark, sf_dir).filter((key + ITEM_OFFSET) % 101 != 0)).select(
         F.concat(F.lit(f"{BASE}/projects/"), ident, F.lit("/item.html")).alias("url"),
         body.alias("html"), fetched_at().alias("fetched_at"),
     )
@@ -244,7 +244,7 @@ def profile_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment"), F.lit('</a><a href="/freelancers/b/">Spark</a><a href="/freelancers/a/">'), F.col("c_mktsegment"), F.lit("</a></div>"),
         F.coalesce("body", F.lit("")), F.lit("</main></body></html>"),
     )
-    return joined.select(
+    return dealt(joined).select(
         F.concat(F.lit(f"{BASE}/users/c-"), cust, F.lit("/")).alias("url"), "page", html.alias("html"), fetched_at().alias("fetched_at")
     )
 
@@ -275,7 +275,7 @@ def people_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     end = spark.range(1).select(F.lit(last + 1).alias("page"), F.lit("<p>no one</p>").alias("body"))
     link = F.when(F.col("page") < last + 1, F.concat(F.lit('<a rel="next" href="/freelancers/page-'), (F.col("page") + 1).cast("string"), F.lit('/">Next</a>'))).otherwise("")
-    return bodies.unionByName(end).select(
+    return dealt(bodies.unionByName(end)).select(
         "page",
         F.when(F.col("page") == 1, f"{BASE}/freelancers/").otherwise(F.concat(F.lit(f"{BASE}/freelancers/page-"), F.col("page").cast("string"), F.lit("/"))).alias("url"),
         F.concat(F.lit("<!doctype html><html><head><title>People</title></head><body><main>"), "body", link, F.lit("</main></body></html>")).alias("html"),

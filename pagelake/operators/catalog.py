@@ -51,13 +51,32 @@ PRICE = [
 
 @dataclass(frozen=True)
 class Selectors:
-    """Where a record's texts are looked for, tried in order; give others for pages with other markup."""
+    """Where the parts of pages are looked for; give others, as node tests or as CSS, for pages with other markup.
 
-    description: Sequence[dom.Match] = tuple(DESCRIPTION)
-    price: Sequence[dom.Match] = tuple(PRICE)
-    title: Sequence[dom.Match] = (
+    Sequences are tried in order. Cards, blocks and links are judged one element at a time, so their selectors name
+    no ancestors. What is None is looked for as usual.
+    """
+
+    description: Sequence[dom.Pick] = tuple(DESCRIPTION)
+    price: Sequence[dom.Pick] = tuple(PRICE)
+    title: Sequence[dom.Pick] = (
         dom.match("h1"), dom.match(equals=("itemprop", "name")), dom.match(cls="b-page__title"), dom.match(cls="project-title")
     )
+    #: Roots of listing pages and of all other pages, by the name that diagnostics give them.
+    listing_root: Sequence[tuple[str, dom.Pick]] | None = None
+    page_root: Sequence[tuple[str, dom.Pick]] = dom.MAIN_OR_BODY
+    card: dom.Pick | None = None
+    next_link: dom.Pick | None = None
+    image: dom.Pick | None = None
+    breadcrumbs: dom.Pick | None = None
+    people_card: dom.Pick | None = None
+    name: Sequence[dom.Pick] | None = None
+    avatar: Sequence[dom.Pick] | None = None
+    about: Sequence[dom.Pick] | None = None
+    skill_block: dom.Pick | None = None
+    review_block: dom.Pick | None = None
+    portfolio_block: dom.Pick | None = None
+    verified: dom.Pick | None = None
 
 
 SELECTORS = Selectors()
@@ -83,12 +102,12 @@ def is_project_card(node: Column) -> Column:
     )
 
 
-def card_marks(nodes: Column) -> Column:
+def card_marks(nodes: Column, is_card: dom.Match = is_project_card) -> Column:
     """Nodes that end the search for a card: cards themselves, and main/body as the limit."""
     return F.transform(
-        F.filter(nodes, lambda n: is_project_card(n) | n["tag"].isin("main", "body")),
+        F.filter(nodes, lambda n: is_card(n) | n["tag"].isin("main", "body")),
         lambda n: F.struct(
-            n["pre"].alias("pre"), n["last"].alias("last"), is_project_card(n).alias("card")
+            n["pre"].alias("pre"), n["last"].alias("last"), is_card(n).alias("card")
         ),
     )
 
@@ -116,9 +135,9 @@ def find_card(nodes: Column, marks: Column, heads: Column, anchor: Column) -> Co
     return let(dom.nearest(marks, anchor), decide)
 
 
-def next_page_url(nodes: Column, base: Column, page: Column) -> Column:
+def next_page_url(nodes: Column, base: Column, page: Column, next_link: dom.Pick = EXPLICIT_NEXT) -> Column:
     """Explicit next link, else the first link that carries the next page number."""
-    explicit = F.nullif(dom.first(nodes, EXPLICIT_NEXT)["attrs"]["href"], F.lit(""))
+    explicit = F.nullif(dom.first(nodes, next_link)["attrs"]["href"], F.lit(""))
     wanted = (page + 1).cast("string")
     hrefs = F.transform(
         F.filter(
@@ -148,7 +167,7 @@ def _ensure(pages: DataFrame) -> DataFrame:
     return pages
 
 
-def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
+def catalog_pages(pages: DataFrame, fingerprint: bool = True, selectors: Selectors = SELECTORS) -> DataFrame:
     """One row per listing page: accepted ``cards``, next page and diagnostics.
 
     Input columns: ``url``, ``html`` and optionally ``page``, ``fetched_at`` and any keys, which are
@@ -159,7 +178,7 @@ def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
         prepared = prepared.withColumn("page_fingerprint", content_fingerprint(F.col("html")))
     keys = [c for c in prepared.columns if c != "html"]
     parsed = dom.parse_html(prepared, keep=keys).withColumns(
-        {"root": dom.root_of(*LISTING_ROOTS), "base": split_base(F.col("url"))}
+        {"root": dom.root_of(*(selectors.listing_root or LISTING_ROOTS)), "base": split_base(F.col("url"))}
     )
     nodes, texts, base = F.col("nodes"), F.col("texts"), F.col("base")
 
@@ -180,7 +199,7 @@ def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
         )
 
     candidates = let(
-        card_marks(nodes),
+        card_marks(nodes, dom.test_of(selectors.card or is_project_card)),
         lambda marks: let(headings(nodes), lambda heads: F.transform(anchors, lambda a: candidate(a, marks, heads))),
     )
 
@@ -218,7 +237,7 @@ def catalog_pages(pages: DataFrame, fingerprint: bool = True) -> DataFrame:
 
     paged = parsed.select(
         *keys,
-        next_page_url(nodes, base, F.col("page")).alias("next_url"),
+        next_page_url(nodes, base, F.col("page"), selectors.next_link or EXPLICIT_NEXT).alias("next_url"),
         F.lower(dom.multiline_text_of(texts, F.col("root"))).alias("root_text"),
         F.col("root.name").alias("root_selector"),
         let(
@@ -365,7 +384,7 @@ def catalog_items(
         described(texts, nodes, F.col("title"), K.DESCRIPTION_STOP_WORDS, 20, dom.text_of, s0, selectors).alias("described"),
         budget_text(texts, nodes, F.replace(text, F.lit("\n"), F.lit(" ")), s0, selectors).alias("priced"),
         person(texts, dom.first(nodes, user_link), F.col("base"), s0).alias("customer"),
-        let(dom.first(nodes, IMAGE), lambda n: image_url(n, F.col("base"))).alias("image_url"),
+        let(dom.first(nodes, selectors.image or IMAGE), lambda n: image_url(n, F.col("base"))).alias("image_url"),
         T.published_text(text).alias("published_raw"),
     )
     return staged.select(

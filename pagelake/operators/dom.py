@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from pagelake.functions.text import let
 from pagelake.operators import html_tree
+from pagelake.operators.selectors import Css, Pick, picked, test_of
 
 # Ship the helper with the job, so that executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(html_tree)
@@ -89,19 +90,20 @@ def either(*tests: Match) -> Match:
     return test
 
 
-def select(nodes: Column, test: Match) -> Column:
-    return F.filter(nodes, test)
+def select(nodes: Column, pick: Pick) -> Column:
+    found = picked(pick)
+    return found.select(nodes) if isinstance(found, Css) else F.filter(nodes, found)
 
 
-def first(nodes: Column, test: Match) -> Column:
-    return F.get(F.filter(nodes, test), F.lit(0))
+def first(nodes: Column, pick: Pick) -> Column:
+    return F.get(select(nodes, pick), F.lit(0))
 
 
-def select_within(nodes: Column, outer: Match, inner: Match) -> Column:
-    """Nodes matching ``inner`` below a node matching ``outer`` (a descendant selector)."""
+def select_within(nodes: Column, outer: Pick, inner: Match) -> Column:
+    """Nodes matching ``inner`` below a node that ``outer`` picks (a descendant selector)."""
     return let(
         F.transform(
-            F.filter(nodes, outer), lambda o: F.struct(o["pre"].alias("pre"), o["last"].alias("last"))
+            select(nodes, outer), lambda o: F.struct(o["pre"].alias("pre"), o["last"].alias("last"))
         ),
         lambda outers: F.when(F.size(outers) == 0, F.slice(nodes, 1, 0)).otherwise(
             F.filter(
@@ -118,6 +120,40 @@ def below(nodes: Column, node: Column) -> Column:
     return F.slice(nodes, node["pre"] + 2, node["last"] - node["pre"])
 
 
+def spans(ranges: Column, points: Column) -> Column:
+    """For each of ``ranges`` (structs of ``a`` and ``z``), which of the sorted ``points`` lie after ``a`` and up to ``z``.
+
+    The result has ``start`` (how many come before) and ``n``, in the order of ``ranges``. Ranges may nest and repeat.
+    Both ends and all points are sorted together once; how many points come before an end is then its place less the
+    number of ends before it, so the work grows with the page and not with ranges times points.
+    """
+    def event(at: Column, kind: int, i: Column | int) -> Column:
+        return F.struct(at.cast("int").alias("at"), F.lit(kind).alias("kind"), (F.lit(i) if isinstance(i, int) else i).alias("i"))
+
+    # At one place a range that begins there comes after the points, and so does one that ends there.
+    events = F.sort_array(F.concat(
+        F.transform(points, lambda p: event(p, 0, 0)),
+        F.transform(ranges, lambda r, i: event(r["a"], 1, i)),
+        F.transform(ranges, lambda r, i: event(r["z"], 2, i)),
+    ))
+    ends = F.filter(F.transform(events, lambda e, k: F.struct(e["kind"].alias("kind"), e["i"].alias("i"), k.alias("k"))), lambda e: e["kind"] > 0)
+    before = F.transform(ends, lambda e, r: F.struct(e["kind"].alias("kind"), e["i"].alias("i"), (e["k"] - r).alias("n")))
+
+    def paired(counts: Column) -> Column:
+        def of(kind: int) -> Column:
+            own = F.filter(counts, lambda e: e["kind"] == kind)
+            return F.sort_array(F.transform(own, lambda e: F.struct(e["i"].alias("i"), e["n"].alias("n"))))
+
+        starts, stops = of(1), of(2)
+        return F.zip_with(starts, stops, lambda s, t: F.struct(s["n"].alias("start"), (t["n"] - s["n"]).alias("n")))
+
+    return let(before, paired)
+
+
+def slice_of(found: Column, span: Column) -> Column:
+    return F.slice(found, span["start"] + 1, span["n"])
+
+
 def nearest(candidates: Column, node: Column) -> Column:
     """Innermost of ``candidates`` that properly contains ``node``."""
     return let(
@@ -145,13 +181,13 @@ def multiline_text_of(texts: Column, node: Column, start: Column | int = 0) -> C
 
 
 def first_text(
-    texts: Column, nodes: Column, selectors: Sequence[Match], start: Column | int = 0
+    texts: Column, nodes: Column, selectors: Sequence[Pick], start: Column | int = 0
 ) -> Column:
     """Text of the first match of the first selector that yields any."""
     return F.coalesce(*[text_of(texts, first(nodes, s), start) for s in selectors])
 
 
-def first_attr(nodes: Column, selectors: Sequence[Match], name: str) -> Column:
+def first_attr(nodes: Column, selectors: Sequence[Pick], name: str) -> Column:
     return F.coalesce(*[F.nullif(first(nodes, s)["attrs"][name], F.lit("")) for s in selectors])
 
 
@@ -160,10 +196,10 @@ WHOLE_PAGE = (
 )
 
 
-def root_of(*choices: tuple[str, Match]) -> Column:
+def root_of(*choices: tuple[str, Pick]) -> Column:
     """First existing root among named selectors, else the whole page."""
-    def pick(name: str, test: Match) -> Column:
-        n = first(F.col("nodes"), test)
+    def pick(name: str, wanted: Pick) -> Column:
+        n = first(F.col("nodes"), wanted)
         return F.when(
             n.isNotNull(),
             F.struct(
@@ -172,7 +208,13 @@ def root_of(*choices: tuple[str, Match]) -> Column:
             ),
         )
 
-    return F.coalesce(*[pick(name, test) for name, test in choices], F.expr(WHOLE_PAGE))
+    return F.coalesce(*[pick(name, wanted) for name, wanted in choices], F.expr(WHOLE_PAGE))
 
 
 MAIN_OR_BODY = (("main", match("main")), ("body", match("body")))
+
+__all__ = [
+    "DOM_COLUMNS", "MAIN_OR_BODY", "Match", "Pick", "below", "either", "first", "first_attr", "first_text", "match",
+    "multiline_text_of", "nearest", "parse_html", "root_of", "select", "select_within", "slice_of", "spans", "strings_of",
+    "test_of", "text_of",
+]

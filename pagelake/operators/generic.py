@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +18,17 @@ HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 def first_by_url(entries: Column) -> Column:
     """Entries with a URL, the first one per URL, in document order.
 
-    ``map_from_entries`` is not usable here because the first occurrence has to win, so the position
-    of the URL among all URLs decides.
+    ``map_from_entries`` is not usable here because the first occurrence has to win. Sorted by URL and place, an entry
+    is the first of its URL if the one before has another, so a page of many links costs a sort.
     """
-    return let(
-        F.filter(entries, lambda e: e["url"].isNotNull()),
-        lambda kept: let(
-            F.transform(kept, lambda e: e["url"]),
-            lambda urls: F.filter(
-                kept, lambda e, i: F.array_position(urls, e["url"]) == i + 1
-            ),
-        ),
-    )
+    def distinct(kept: Column) -> Column:
+        placed = F.sort_array(F.transform(kept, lambda e, i: F.struct(e["url"].alias("url"), i.alias("i"))))
+        return let(placed, lambda p: F.transform(
+            F.sort_array(F.transform(
+                F.filter(p, lambda e, k: (k == 0) | (F.get(p, k - 1)["url"] != e["url"])), lambda e: e["i"])),
+            lambda i: F.get(kept, i)))
+
+    return let(F.filter(entries, lambda e: e["url"].isNotNull()), distinct)
 
 
 def meta_map(nodes: Column) -> Column:
@@ -132,64 +133,62 @@ def headings(nodes: Column, texts: Column) -> Column:
 
 
 def lists(nodes: Column, texts: Column) -> Column:
-    """Item texts of each list, direct items only; lists without text are left out."""
-    return let(
-        dom.select(nodes, dom.match("li")),
-        lambda items: F.filter(
-            F.transform(
-                dom.select(nodes, dom.match("ul", "ol")),
-                lambda n: F.filter(
-                    F.transform(
-                        F.filter(items, lambda i: i["parent"] == n["pre"]),
-                        lambda i: dom.text_of(texts, i),
-                    ),
-                    lambda t: t.isNotNull(),
-                ),
-            ),
+    """Item texts of each list, direct items only; lists without text are left out.
+
+    Items sorted by their parent stand together, so each list takes a slice of them.
+    """
+    def of(items: Column, holders: Column) -> Column:
+        places = dom.spans(
+            F.transform(holders, lambda n: F.struct((n["pre"] - 1).alias("a"), n["pre"].alias("z"))),
+            F.transform(items, lambda i: i["parent"]),
+        )
+        return F.filter(
+            F.transform(places, lambda span: F.filter(
+                F.transform(dom.slice_of(items, span), lambda i: dom.text_of(texts, i["node"])), lambda t: t.isNotNull())),
             lambda found: F.size(found) > 0,
-        ),
-    )
+        )
+
+    items = F.sort_array(F.transform(
+        dom.select(nodes, dom.match("li")),
+        lambda n: F.struct(n["parent"].alias("parent"), n["pre"].alias("pre"), F.struct(n["s0"].alias("s0"), n["s1"].alias("s1")).alias("node")),
+    ))
+    return let(items, lambda i: let(dom.select(nodes, dom.match("ul", "ol")), lambda h: of(i, h)))
 
 
 def tables(nodes: Column, texts: Column) -> Column:
-    """Headers (the first row with a ``th``) and the other rows of each table."""
+    """Headers (the first row with a ``th``) and the other rows of each table; a nested table's rows count for all around it.
 
-    def inside(found: Column, node: Column) -> Column:
-        return F.filter(found, lambda c: (c["pre"] > node["pre"]) & (c["pre"] <= node["last"]))
+    Rows and cells stand in document order, so each table takes a slice of the rows and each row a slice of the
+    cells; the texts of a row's cells are made once, however many tables hold the row.
+    """
+    def around(found: Column) -> Column:
+        return F.transform(found, lambda n: F.struct(n["pre"].alias("a"), n["last"].alias("z")))
 
-    def rows(table: Column, trs: Column, cells: Column) -> Column:
-        return F.filter(
-            F.transform(
-                inside(trs, table),
-                lambda r: let(
-                    inside(cells, r),
-                    lambda own: F.struct(
-                        F.exists(own, lambda c: c["tag"] == "th").alias("head"),
-                        F.transform(
-                            own, lambda c: F.coalesce(dom.text_of(texts, c), F.lit(""))
-                        ).alias("cells"),
-                    ),
-                ),
-            ),
-            lambda r: F.size(r["cells"]) > 0,
-        )
+    def places(found: Column) -> Column:
+        return F.transform(found, lambda n: n["pre"])
+
+    def cells_of(rows: Column, cells: Column) -> Column:
+        return F.transform(dom.spans(around(rows), places(cells)), lambda span: let(
+            dom.slice_of(cells, span),
+            lambda own: F.struct(
+                F.exists(own, lambda c: c["tag"] == "th").alias("head"),
+                F.transform(own, lambda c: F.coalesce(dom.text_of(texts, c), F.lit(""))).alias("cells"),
+            )))
 
     def split(found: Column) -> Column:
-        at = F.array_position(F.transform(found, lambda r: r["head"]), True)
-        return F.struct(
-            F.coalesce(F.get(found, (at - 1).cast("int"))["cells"], F.array().cast("array<string>")).alias("headers"),
+        none = F.array().cast("array<string>")
+        return let(F.array_position(F.transform(found, lambda r: r["head"]), True).cast("int"), lambda at: F.struct(
+            F.coalesce(F.get(found, at - 1)["cells"], none).alias("headers"),
             F.transform(F.filter(found, lambda r, i: i + 1 != at), lambda r: r["cells"]).alias("rows"),
-        )
+        ))
 
-    return let(
-        dom.select(nodes, dom.match("tr")),
-        lambda trs: let(
-            dom.select(nodes, dom.match("th", "td")),
-            lambda cells: F.transform(
-                dom.select(nodes, dom.match("table")), lambda t: let(rows(t, trs, cells), split)
-            ),
-        ),
-    )
+    def all_of(found: Column, trs: Column, cells: Column) -> Column:
+        return let(cells_of(trs, cells), lambda rows: F.transform(
+            dom.spans(around(found), places(trs)),
+            lambda span: let(F.filter(dom.slice_of(rows, span), lambda r: F.size(r["cells"]) > 0), split)))
+
+    return let(dom.select(nodes, dom.match("tr")), lambda trs: let(
+        dom.select(nodes, dom.match("th", "td")), lambda cells: all_of(dom.select(nodes, dom.match("table")), trs, cells)))
 
 
 def page_title(nodes: Column, texts: Column) -> Column:
@@ -206,12 +205,17 @@ def source_struct(url: Column, fetched_at: Column) -> Column:
     )
 
 
-def generic_page(pages: DataFrame, keep_html: bool = False) -> DataFrame:
-    """One record per page.  ``pages`` holds ``url``, ``html`` and optionally ``fetched_at``."""
+def generic_page(
+    pages: DataFrame, keep_html: bool = False, root: Sequence[tuple[str, dom.Pick]] = dom.MAIN_OR_BODY
+) -> DataFrame:
+    """One record per page.  ``pages`` holds ``url``, ``html`` and optionally ``fetched_at``.
+
+    What is extracted lies below the first of ``root`` that a page has, else anywhere on the page.
+    """
     keep = [c for c in pages.columns if c != "html" or keep_html]
     parsed = dom.parse_html(pages, keep=keep)
     fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None).cast("timestamp")
-    rooted = parsed.withColumns({"root": dom.root_of(*dom.MAIN_OR_BODY), "base": split_base(F.col("url"))})
+    rooted = parsed.withColumns({"root": dom.root_of(*root), "base": split_base(F.col("url"))})
     inner, texts, url = dom.below(F.col("nodes"), F.col("root")), F.col("texts"), F.col("url")
     base = F.col("base")
     nodes = F.col("nodes")
