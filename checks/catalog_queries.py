@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -285,12 +287,12 @@ def a10(spark, sf):
 @query("a10_all_surfaces", """WITH p AS (SELECT DISTINCT s_suppkey // 30 + 1 AS page FROM supplier), o AS (SELECT (o_orderkey + 5500000) % 101 <> 0 AS good FROM orders)
 SELECT 'people' AS surface, count(*) + 1 AS pages, count(*) AS passed, false AS ok FROM p
 UNION ALL SELECT 'detail', count(*), count(*), true FROM o WHERE good
-UNION ALL SELECT 'profile', count(*), count(*), true FROM customer""")
+UNION ALL SELECT 'profile', 3 * count(*), 3 * count(*), true FROM customer""")
 def a10_all(spark, sf):
     """Reports for people, details and profiles; pages that lack what a record needs fail."""
     report, _ = verbs.health({
         "people": render.people_html(spark, sf), "detail": render.detail_html(spark, sf),
-        "profile": render.profile_html(spark, sf).filter("page = 1"),
+        "profile": render.profile_html(spark, sf),
     }, site="Market.example")
     return report.select("surface", "pages", "passed", "ok")
 
@@ -374,48 +376,52 @@ def profiles(spark, sf):
     return profile.profile_pages(render.profile_html(spark, sf), "Market.example")
 
 
-def first_profiles(spark, sf):
-    html = render.profile_html(spark, sf).filter(F.col("page") == 1)
-    return profile.profile_pages(html, "Market.example")
+PROFILE_PAGES = "customer, (SELECT unnest([1, 2, 3]) AS page)"
 
 
-@query("x17_profile_pages", f"""SELECT 'c-' || c_custkey AS username, c_custkey AS user_id, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'customer' ELSE 'freelancer' END AS role, n_name AS location,
+@query("x17_profile_pages", f"""SELECT 'c-' || c_custkey AS username, page, c_custkey AS user_id, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'customer' ELSE 'freelancer' END AS role, n_name AS location,
   abs(c_acctbal)::DOUBLE AS rating, c_custkey % 30 AS reviews_positive, c_custkey % 7 AS reviews_negative, c_custkey % 9 AS safe_deals, c_custkey % 6 = 0 AS verified,
   (c_custkey % 20) || ' лет' AS registered_raw, '2 часа назад' AS last_seen_raw, 'About ' || c_mktsegment AS about, c_mktsegment || '|Spark' AS skills, '{BASE}/a/' || c_custkey || '.jpg' AS avatar_url
-  FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+  FROM {PROFILE_PAGES} JOIN nation ON c_nationkey = n_nationkey""")
 def x17(spark, sf):
-    return first_profiles(spark, sf).select(
-        "username", "user_id", "name", "role", "location", F.col("rating").cast("double").alias("rating"),
+    return profiles(spark, sf).select(
+        "username", F.col("page").cast("long").alias("page"), "user_id", "name", "role", "location", F.col("rating").cast("double").alias("rating"),
         *[F.col(c).cast("long").alias(c) for c in ("reviews_positive", "reviews_negative", "safe_deals")], "verified", "registered_raw", "last_seen_raw", "about",
         F.array_join("skills", "|").alias("skills"), "avatar_url",
     )
 
 
-@query("a14_tab_counts", "SELECT 'c-' || c_custkey AS username, c_custkey % 11 AS projects_count, c_custkey % 3 AS vacancies_count, 0 AS contests_count FROM customer")
+@query("a14_tab_counts", f"SELECT 'c-' || c_custkey AS username, page, c_custkey % 11 AS projects_count, c_custkey % 3 AS vacancies_count, 0 AS contests_count FROM {PROFILE_PAGES}")
 def a14(spark, sf):
-    return first_profiles(spark, sf).select("username", *[F.col(c).cast("long").alias(c) for c in ("projects_count", "vacancies_count", "contests_count")])
+    return profiles(spark, sf).select("username", *[F.col(c).cast("long").alias(c) for c in ("page", "projects_count", "vacancies_count", "contests_count")])
 
 
-@query("e4_ordered_distinct_skills", "SELECT 'c-' || c_custkey AS username, c_mktsegment || '|Spark' AS skills FROM customer")
+@query("e4_ordered_distinct_skills", f"SELECT 'c-' || c_custkey AS username, page, c_mktsegment || '|Spark' AS skills FROM {PROFILE_PAGES}")
 def e4(spark, sf):
-    return first_profiles(spark, sf).select("username", F.array_join("skills", "|").alias("skills"))
+    return profiles(spark, sf).select("username", F.col("page").cast("long").alias("page"), F.array_join("skills", "|").alias("skills"))
 
 
 SECTIONS = "WITH x AS (SELECT *, o_orderkey % 3 + 1 AS page FROM orders), y AS (SELECT * FROM x UNION ALL SELECT * REPLACE (page + 1 AS page) FROM x WHERE o_orderkey % 5 = 0 AND page < 3) "
 
 
-@query("x18_reviews", SECTIONS + """SELECT 'c-' || o_custkey AS username, page, 's-' || (o_orderkey % 100) AS author, CASE o_orderkey % 4 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' END AS sentiment, count(*) AS reviews
-FROM y GROUP BY ALL""")
+MOOD = "CASE o_orderkey % 4 WHEN 0 THEN 'Положительный отзыв' WHEN 1 THEN 'Отрицательный отзыв' ELSE 'Просто отзыв' END"
+
+
+@query("x18_reviews", SECTIONS + f"""SELECT 'c-' || o_custkey AS username, page, 's-' || (o_orderkey % 100) AS author, 'Author' AS author_name,
+  CASE o_orderkey % 4 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' END AS sentiment, 'Author/' || {MOOD} || ' о заказе ' || o_orderkey AS text FROM y""")
 def x18(spark, sf):
     rows = profiles(spark, sf).select("username", F.col("page").cast("long").alias("page"), F.explode("reviews").alias("r"))
-    return rows.groupBy("username", "page", F.col("r.author.username").alias("author"), F.col("r.sentiment").alias("sentiment")).agg(F.count("*").alias("reviews"))
+    return rows.select("username", "page", F.col("r.author.username").alias("author"), F.col("r.author.name").alias("author_name"), "r.sentiment",
+                       F.replace("r.text", F.lit("\n"), F.lit("/")).alias("text"))
 
 
 @query("x19_portfolio", SECTIONS + f"""SELECT 'c-' || o_custkey AS username, page, 'Work ' || o_orderkey AS title, '{BASE}/users/c-' || o_custkey || '/portfolio/item-' || o_orderkey || '/' AS url,
-  '{BASE}/i/' || o_orderkey || '.jpg' AS image_url FROM y""")
+  '{BASE}/i/' || o_orderkey || '.jpg' AS image_url, (o_orderkey || {W})::DOUBLE AS price_min, (o_orderkey || {W})::DOUBLE AS price_max, 'RUB' AS currency FROM y""")
 def x19(spark, sf):
+    """The number of the work and the price after it are one number, as groups of digits next to each other are."""
     rows = profiles(spark, sf).select("username", F.col("page").cast("long").alias("page"), F.explode("portfolio").alias("w"))
-    return rows.select("username", "page", "w.title", "w.url", "w.image_url")
+    return rows.select("username", "page", "w.title", "w.url", "w.image_url", F.col("w.price.amount_min").cast("double").alias("price_min"),
+                       F.col("w.price.amount_max").cast("double").alias("price_max"), "w.price.currency")
 
 
 @query("e3_distinct_section_rows", SECTIONS + "SELECT 'c-' || o_custkey AS username, min(page) AS page, 'Work ' || o_orderkey AS title FROM y GROUP BY o_custkey, o_orderkey")
@@ -424,12 +430,17 @@ def e3(spark, sf):
     return rows.select("username", F.col("page").cast("long").alias("page"), "title")
 
 
-@query("e5_section_union", SECTIONS + "SELECT 'c-' || o_custkey AS username, page, 'review' AS section, count(*) AS n FROM y GROUP BY o_custkey, page UNION ALL SELECT 'c-' || o_custkey, page, 'work', count(*) FROM y GROUP BY o_custkey, page")
+@query("e5_section_union", SECTIONS + """SELECT 'c-' || o_custkey AS username, section, count(DISTINCT o_orderkey) AS n, min(page) AS first_page
+FROM y, (SELECT unnest(['projects', 'reviews', 'portfolio']) AS section) GROUP BY ALL""")
 def e5(spark, sf):
-    parsed = profiles(spark, sf).select("username", "page", "reviews", "portfolio")
-    review = parsed.select("username", "page", F.lit("review").alias("section"), F.size("reviews").cast("long").alias("n"))
-    work = parsed.select("username", "page", F.lit("work").alias("section"), F.size("portfolio").cast("long").alias("n"))
-    return review.unionByName(work).filter("n > 0").select("username", F.col("page").cast("long").alias("page"), "section", "n")
+    """The three sections of every user over all pages, each entry once."""
+    html = render.profile_html(spark, sf)
+    found = {
+        "projects": verbs.user_projects(html).ok, "reviews": verbs.user_reviews(html, "Market.example").ok,
+        "portfolio": verbs.user_portfolio(html, "Market.example").ok,
+    }
+    rows = [df.select("username", F.lit(name).alias("section"), F.col("page").cast("long").alias("page")) for name, df in found.items()]
+    return reduce(DataFrame.unionByName, rows).groupBy("username", "section").agg(F.count("*").alias("n"), F.min("page").alias("first_page"))
 
 
 @query("w3_last_page_wins", SECTIONS + "SELECT 'c-' || o_custkey AS username, o_orderkey + 5500000 AS id, max(page) AS page, min(page) AS first_page FROM y GROUP BY o_custkey, o_orderkey")

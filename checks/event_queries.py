@@ -205,9 +205,26 @@ def k8(spark, sf):
     return metrics.safe_events(request_events(spark, sf)).select("event_id", "url", "proxy")
 
 
-@query("s8_event_scan", "SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events")
+@query("s8_event_scan", LOG + """SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, request_id, phase, endpoint, attempt, status_code, bytes, error,
+  'https://market.example.org/p?token=***' AS url, count(*) AS n FROM r GROUP BY ALL""")
 def s8(spark, sf):
-    return request_events(spark, sf).select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    """The event log is written without secrets and read back."""
+    path = st.fresh_folder(spark, "log")
+    sources.write_events(request_events(spark, sf), path)
+    found = sources.read_events(spark, path)
+    return found.groupBy(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "request_id", "phase", "endpoint", "attempt", "status_code", "bytes", "error", "url",
+    ).agg(F.count("*").alias("n"))
+
+
+@query("s7_baseline", "SELECT p_brand AS surface, string_agg(DISTINCT 'tag:' || lower(p_type), '|' ORDER BY 'tag:' || lower(p_type)) AS tokens FROM part GROUP BY p_brand")
+def s7(spark, sf):
+    """A baseline of tokens per surface is stored as JSON and read back."""
+    path = st.fresh_folder(spark, "baseline")
+    tokens = F.sort_array(F.collect_set(F.concat(F.lit("tag:"), F.lower("p_type")))).alias("tokens")
+    made = table(spark, sf, "part").groupBy(F.col("p_brand").alias("surface")).agg(tokens).withColumn("structural_fingerprint", F.sha2(F.array_join("tokens", ","), 256))
+    made.write.json(path)
+    return sources.read_baseline(spark, path).select("surface", F.array_join("tokens", "|").alias("tokens"))
 
 
 # ---- state -------------------------------------------------------------------
@@ -265,8 +282,8 @@ def s3(spark, sf):
 
 @query("j1_items_with_state", f"SELECT o_orderkey AS id, {NOW_HASH} AS content_hash, CASE WHEN o_orderkey % 7 <> 0 THEN {OLD_HASH} END AS state_hash FROM orders")
 def j1(spark, sf):
-    known = order_state(spark, sf).select("id", F.col("content_hash").alias("state_hash"))
-    return order_items(spark, sf).join(known, "id", "left").select("id", "content_hash", "state_hash")
+    items = order_items(spark, sf).select("id", F.col("content_hash").alias("now"))
+    return saved_state(spark, sf).lookup(items).select("id", F.col("now").alias("content_hash"), F.col("content_hash").alias("state_hash"))
 
 
 @query("j2_new_or_changed", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'new' ELSE 'changed' END AS why FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0")

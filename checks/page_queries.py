@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.render import dealt, table
 from pagelake.functions import hashing, urls
-from pagelake.operators import dom, generic, quality, robots
+from pagelake.operators import catalog, detail, dom, generic, quality, robots
 from pagelake.session import materialize
 from pagelake.sources import pages as sources
 
@@ -53,7 +53,7 @@ CLASS_SQL = """CASE page_id % 12 WHEN 0 THEN 'ok' WHEN 1 THEN 'http_error' WHEN
 
 @query("s1_page_scan", "SELECT page_id, url, length(html) AS html_chars FROM pages")
 def s1(spark, sf):
-    return table(spark, sf, "pages").select("page_id", "url", F.length("html").alias("html_chars"))
+    return sources.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", F.length("html").alias("html_chars"))
 
 
 @query("s2_raw_html", "SELECT url, html FROM pages")
@@ -271,34 +271,80 @@ def x11(spark, sf):
     )
 
 
-@query("x8_paragraphs")
-def x8(spark, sf):
-    parsed = dom.parse_html(pages(spark, sf))
-    found = generic.texts_of(F.col("nodes"), F.col("texts"), dom.match("p"))
-    return parsed.select("page_id", F.posexplode(found).alias("pos", "text"))
+# ---- trees whose shape is known: parts as elements, numbered in document order -----------------
+
+PER_TREE = 30
+#: Part i of a tree lies one level below the part before at most; i + min over the parts so far of (height - place) is that depth.
+TREE = f"""WITH p AS (SELECT p_partkey AS k, p_partkey // {PER_TREE} AS page, row_number() OVER (PARTITION BY p_partkey // {PER_TREE} ORDER BY p_partkey) AS i,
+  1 + p_size % 5 AS height FROM part),
+d AS (SELECT *, i + least(0, min(height - i) OVER (PARTITION BY page ORDER BY i)) AS depth FROM p),
+l AS (SELECT *, coalesce(lead(depth) OVER (PARTITION BY page ORDER BY i), 0) <= depth AS leaf, max(i) OVER (PARTITION BY page) AS n FROM d),
+t AS (SELECT *, CASE WHEN leaf THEN ['p', 'span', 'h2'][k % 3 + 1] ELSE ['div', 'section', 'article'][k % 3 + 1] END AS tag,
+  CASE WHEN k % 4 <> 0 THEN 'text ' || k END AS words FROM l),
+e AS (SELECT t.*, coalesce((SELECT min(o.i) FROM t AS o WHERE o.page = t.page AND o.i > t.i AND o.depth <= t.depth), n + 1) - 1 AS last,
+  coalesce((SELECT max(o.i) FROM t AS o WHERE o.page = t.page AND o.i < t.i AND o.depth = t.depth - 1), 0) AS parent FROM t) """
+
+
+def tree_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """One page per thirty parts: nested elements whose depths come from the sizes of the parts."""
+    place = Window.partitionBy("page").orderBy("k")
+    p = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("k"), F.floor(F.col("p_partkey") / PER_TREE).alias("page"), (1 + F.col("p_size") % 5).alias("height"))
+    p = p.withColumn("i", F.row_number().over(place))
+    depth = F.col("i") + F.least(F.lit(0), F.min(F.col("height") - F.col("i")).over(place))
+    p = p.withColumn("depth", depth).withColumn("leaf", F.coalesce(F.lead("depth").over(place), F.lit(0)) <= F.col("depth"))
+    names = F.when(F.col("leaf"), F.array(*map(F.lit, ("p", "span", "h2")))).otherwise(F.array(*map(F.lit, ("div", "section", "article"))))
+    p = p.withColumn("tag", F.get(names, (F.col("k") % 3).cast("int")))
+    # The thirty elements of a page; what ends after an element is closed from the innermost on.
+    rows = p.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("i", "depth", "tag", "k"))).alias("e"))
+    following = lambda i: F.coalesce(F.get("e", i + 1)["depth"], F.lit(0))
+    # The open element at depth d after element i is the last one up to i with that depth.
+    open_at = lambda i, d: F.element_at(F.filter(F.slice("e", 1, i + 1), lambda x: x["depth"] == d), -1)["tag"]
+    depths = lambda e, i: F.when(e["depth"] >= following(i), F.sequence(e["depth"], following(i) + F.when(following(i) == 0, 1).otherwise(0), F.lit(-1)))
+    closing = lambda e, i: F.coalesce(F.array_join(F.transform(depths(e, i), lambda d: F.concat(F.lit("</"), open_at(i, d), F.lit(">"))), ""), F.lit(""))
+    words = lambda e: F.when(e["k"] % 4 != 0, F.concat(F.lit("text "), e["k"].cast("string"))).otherwise("")
+    parts = F.transform("e", lambda e, i: F.concat(F.lit("<"), e["tag"], F.lit(' data-k="'), e["k"].cast("string"), F.lit('">'), words(e), closing(e, i)))
+    return dealt(rows.select("page", F.concat(F.lit("<main>"), F.array_join(parts, ""), F.lit("</main>")).alias("html")))
+
+
+@query("x0_nodes", TREE + """SELECT page, i + 2 AS pre, last + 2 AS last, parent + 2 AS parent, tag, k::VARCHAR AS k FROM e
+UNION ALL SELECT DISTINCT page, o.pre, n + 2, o.pre - 1, o.tag, NULL FROM e, (VALUES (0, 'html'), (1, 'body'), (2, 'main')) AS o(pre, tag)""")
+def x0(spark, sf):
+    """Places of all elements, those around the tree included."""
+    parsed = dom.parse_html(tree_pages(spark, sf))
+    return parsed.select("page", F.explode("nodes").alias("n")).select(
+        "page", *[F.col(f"n.{c}").cast("long").alias(c) for c in ("pre", "last", "parent")], "n.tag", F.col("n.attrs")["data-k"].alias("k"))
 
 
-@query("x0_nodes")
-def x0(spark, sf):
-    parsed = dom.parse_html(pages(spark, sf))
-    return parsed.select("page_id", F.explode("nodes").alias("n")).select(
-        "page_id", "n.pre", "n.last", "n.parent", "n.tag"
-    )
+@query("x1_node_text", TREE + """SELECT e.page, e.i AS pre, string_agg(w.words, ' ' ORDER BY w.i) AS line, string_agg(w.words, '/' ORDER BY w.i) AS lines
+FROM e LEFT JOIN e AS w ON w.page = e.page AND w.i BETWEEN e.i AND e.last AND w.words IS NOT NULL GROUP BY e.page, e.i""")
+def x1(spark, sf):
+    parsed = dom.parse_html(tree_pages(spark, sf))
+    texts = F.col("texts")
+    found = F.transform(F.slice("nodes", 4, F.size("nodes")), lambda n: F.struct(
+        (n["pre"] - 2).cast("long").alias("pre"), dom.text_of(texts, n).alias("line"),
+        F.replace(dom.multiline_text_of(texts, n), F.lit("\n"), F.lit("/")).alias("lines")))
+    return parsed.select("page", F.explode(found).alias("f")).select("page", "f.*")
 
 
-@query("x3_meta_map", "SELECT page_id, 0 AS entries FROM pages")
-def x3(spark, sf):
-    parsed = dom.parse_html(pages(spark, sf))
-    return parsed.select("page_id", F.size(generic.meta_map(F.col("nodes"))).alias("entries"))
+@query("x8_paragraphs", TREE + "SELECT page, row_number() OVER (PARTITION BY page ORDER BY i) - 1 AS pos, words AS text FROM e WHERE tag = 'p' AND words IS NOT NULL")
+def x8(spark, sf):
+    parsed = dom.parse_html(tree_pages(spark, sf))
+    found = generic.texts_of(F.col("nodes"), F.col("texts"), dom.match("p"))
+    return parsed.select("page", F.posexplode(found).alias("pos", "text")).withColumn("pos", F.col("pos").cast("long"))
 
 
-@query("x1_node_text")
-def x1(spark, sf):
-    parsed = dom.parse_html(pages(spark, sf))
-    body = dom.first(F.col("nodes"), dom.match("article"))
-    return parsed.select(
-        "page_id", dom.text_of(F.col("texts"), body).alias("line"), dom.multiline_text_of(F.col("texts"), body).alias("lines")
-    )
+@query("x3_meta_map", """SELECT p_partkey, 'size' AS name, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE p_size::VARCHAR END AS content FROM part
+UNION ALL SELECT p_partkey, 'og:type', p_type || ' & co' FROM part UNION ALL SELECT p_partkey, 'both', p_name FROM part""")
+def x3(spark, sf):
+    """Names come twice for every third part, by property or name; unnamed and empty ones do not count."""
+    meta = lambda key, name, value: F.concat(F.lit(f'<meta {key}="{name}" content="'), value, F.lit('">'))
+    html = table(spark, sf, "part").select("p_partkey", F.concat(
+        F.lit("<head>"), meta("name", "size", F.col("p_size").cast("string")), meta("property", "og:type", F.concat("p_type", F.lit(" &amp; co"))),
+        meta("name", "empty", F.lit("")), meta("content2", "x", F.col("p_name")), F.lit('<meta name="both" property="other" content="'), "p_name", F.lit('">'),
+        F.when(F.col("p_partkey") % 3 == 0, meta("property", "size", F.col("p_brand"))).otherwise(""), F.lit("</head><body></body>")).alias("html"))
+    parsed = dom.parse_html(dealt(html))
+    return parsed.select("p_partkey", F.explode(generic.meta_map(F.col("nodes"))).alias("name", "content"))
 
 
 @query("x2_first_text", rf"""SELECT page_id, nullif(trim(regexp_replace({ENTITIES.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}, '\s+', ' ', 'g')), '') AS heading,
@@ -337,34 +383,103 @@ def x4(spark, sf):
     return parsed.select("page_id", F.explode(generic.json_ld(F.col("ld"))).alias("block"))
 
 
-@query("x10_tables", """SELECT r_regionkey, n_name AS nation, n_nationkey::VARCHAR AS cell, r_name AS header FROM nation JOIN region ON n_regionkey = r_regionkey""")
+@query("x10_tables", """WITH c AS (SELECT r_regionkey, r_name, n_nationkey AS k, CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE n_name END || '|' || n_nationkey AS cells
+  FROM nation JOIN region ON n_regionkey = r_regionkey), n AS (SELECT r_regionkey, r_name, count(*) AS n FROM c GROUP BY ALL)
+SELECT r_regionkey, 0 AS t, r_name || '|key' AS headers, row_number() OVER (PARTITION BY r_regionkey ORDER BY k) AS i, cells FROM c
+UNION ALL SELECT r_regionkey, 0, r_name || '|key', 0, '' FROM n
+UNION ALL SELECT r_regionkey, 0, r_name || '|key', n + 1, 'outer inner ' || r_name || '|inner ' || r_name FROM n
+UNION ALL SELECT r_regionkey, 0, r_name || '|key', n + 2, 'inner ' || r_name FROM n
+UNION ALL SELECT r_regionkey, 1, '', 0, 'inner ' || r_name FROM n""")
 def x10(spark, sf):
+    """A table per region with a row of one empty cell, a header row, cells without end tags, and a table in its last row."""
     n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    row = F.concat(F.lit("<tr><td>"), F.col("n_name"), F.lit("<td>"), F.col("n_nationkey").cast("string"), F.lit("</td></tr>"))
-    html = n.groupBy("r_regionkey", "r_name").agg(F.array_join(F.sort_array(F.collect_list(row)), "").alias("rows")).select(
+    name = F.when(F.col("n_nationkey") % 4 == 0, "").otherwise(F.col("n_name"))
+    row = F.concat(F.lit("<tr><td>"), name, F.lit("<td>"), F.col("n_nationkey").cast("string"), F.lit("</td></tr>"))
+    html = n.groupBy("r_regionkey", "r_name").agg(F.sort_array(F.collect_list(F.struct("n_nationkey", row.alias("row")))).alias("rows")).select(
         "r_regionkey",
-        F.concat(F.lit("<body><table><tr><td></td></tr><tr><th>"), F.col("r_name"), F.lit("</th><th>key</th></tr>"), F.col("rows"), F.lit("</table></body>")).alias("html"),
-    )
-    found = generic.tables(F.col("nodes"), F.col("texts"))
-    return (
-        dom.parse_html(html).select("r_regionkey", F.explode(found).alias("t"))
-        .select("r_regionkey", F.get("t.headers", F.lit(0)).alias("header"), F.explode("t.rows").alias("row"))
-        .filter(F.get("row", F.lit(0)) != "")
-        .select("r_regionkey", "header", F.get("row", F.lit(0)).alias("nation"), F.get("row", F.lit(1)).alias("cell"))
+        F.concat(F.lit("<body><table><tr><td></td></tr><tr><th>"), F.col("r_name"), F.lit("</th><th>key</th></tr>"), F.array_join(F.col("rows.row"), ""),
+                 F.lit("<tr><td>outer<table><tr><td>inner "), "r_name", F.lit("</td></tr></table></td></tr></table></body>")).alias("html"),
     )
+    found = dom.parse_html(html).select("r_regionkey", F.posexplode(generic.tables(F.col("nodes"), F.col("texts"))).alias("t", "found"))
+    return found.select("r_regionkey", "t", F.array_join("found.headers", "|").alias("headers"), F.posexplode("found.rows").alias("i", "row")).select(
+        "r_regionkey", "t", "headers", "i", F.array_join("row", "|").alias("cells"))
 
 
-@query("l5_text_cut", "SELECT doc_id, substr(text, 1, 160) AS cut FROM documents")
+@query("l5_text_cut", """SELECT doc_id, substr(regexp_replace('https://e.org/' || text, '[^a-zA-Z0-9_.-]+', '_', 'g'), 1, 160) AS failure_key, least(100, strlen(text)) AS kept FROM documents WHERE text IS NOT NULL""")
 def l5(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 160).alias("cut"))
+    """The key and the first bytes under which a page is kept whose URL and body are the text of a document."""
+    docs = table(spark, sf, "documents").filter("text IS NOT NULL").select(
+        "doc_id", "text", F.concat(F.lit("https://e.org/"), F.regexp_replace("text", "\\s", " ")).alias("url"))
+    bodies = sources.blocked_records(docs.select(F.col("doc_id").cast("string").alias("url"), F.col("text").alias("html")), 100)
+    kept = bodies.select(F.col("url").cast("long").alias("doc_id"), F.octet_length("body").cast("long").alias("kept"))
+    return docs.select("doc_id", urls.failure_key(F.concat(F.lit("https://e.org/"), F.col("text"))).alias("failure_key")).join(kept, "doc_id")
 
 
-@query("j8_realign_results", """SELECT page_id, -page_id AS ord, CASE WHEN page_id % 3 = 0 THEN NULL ELSE length(html) END AS html_chars FROM pages""")
+@query("j8_realign_results", """SELECT page_id, -page_id AS ord, CASE WHEN page_id % 3 <> 0 THEN length(html) END AS html_chars, CASE WHEN page_id % 3 = 0 THEN 'missing_page' END AS error FROM pages""")
 def j8(spark, sf):
-    """Results come back in any order and partly failed; the request order is kept by a key column."""
+    """Results come back in any order and partly not at all; each request gets its own, or the reason there is none."""
     p = table(spark, sf, "pages")
-    requests = p.select("page_id", (-F.col("page_id")).alias("ord"))
-    results = p.filter(F.col("page_id") % 3 != 0).select("page_id", F.length("html").alias("html_chars"))
-    return requests.join(results, "page_id", "left").orderBy("ord")
-
-
+    requests = p.select(F.col("page_id").alias("id"), (-F.col("page_id")).alias("ord"))
+    none = F.lit(None).cast("struct<kind:string,message:string>")
+    results = p.filter(F.col("page_id") % 3 != 0).select(F.col("page_id").alias("id"), F.length("html").alias("html_chars"), none.alias("error"))
+    found = detail.with_details(requests, results)
+    return found.select(F.col("id").alias("page_id"), "ord", F.col("detail.html_chars").alias("html_chars"), F.col("error.kind").alias("error"))
+
+
+# ---- selectors given by the caller ------------------------------------------------------------
+
+CHOICES = {
+    "in_main": "main span",
+    "child": "section > p",
+    "listed": "article[data-k], h2, div span",
+    "deep": "main div section *",
+    "ends": "[data-k$='7']",
+    "holds": "p[data-k*=\"1\" i]",
+}
+
+
+@query("u3_css_selectors", TREE + """, a AS (SELECT e.*, EXISTS (SELECT 1 FROM e AS o WHERE o.page = e.page AND o.i < e.i AND o.last >= e.i AND o.tag = 'div') AS in_div,
+  EXISTS (SELECT 1 FROM e AS o JOIN e AS s ON s.page = o.page AND s.i > o.i AND s.i <= o.last AND s.tag = 'section'
+          WHERE o.page = e.page AND o.tag = 'div' AND s.i < e.i AND s.last >= e.i) AS in_both,
+  (SELECT tag FROM e AS o WHERE o.page = e.page AND o.i = e.parent) AS above FROM e)
+SELECT 'in_main' AS name, page, i AS pre FROM a WHERE tag = 'span' UNION ALL SELECT 'child', page, i FROM a WHERE tag = 'p' AND above = 'section'
+UNION ALL SELECT 'listed', page, i FROM a WHERE tag IN ('article', 'h2') OR tag = 'span' AND in_div
+UNION ALL SELECT 'deep', page, i FROM a WHERE in_both UNION ALL SELECT 'ends', page, i FROM a WHERE k % 10 = 7
+UNION ALL SELECT 'holds', page, i FROM a WHERE tag = 'p' AND contains(k::VARCHAR, '1')""")
+def u3(spark, sf):
+    """Elements that selectors find among the trees."""
+    parsed = dom.parse_html(tree_pages(spark, sf))
+    found = F.array(*(
+        F.struct(F.lit(name).alias("name"), F.transform(dom.select(F.col("nodes"), css), lambda n: (n["pre"] - 2).cast("long")).alias("pre"))
+        for name, css in CHOICES.items()))
+    each = parsed.select("page", F.explode(found).alias("f"))
+    return each.select("f.name", "page", F.explode("f.pre").alias("pre"))
+
+
+OTHER_MARKUP = catalog.Selectors(
+    description=["q[data-role*='SUMM' i]"], price=["i > b[data-cost]", "i.cost"], card="div.tile",
+    listing_root=[("offers", "div#offers")], next_link="a.onward[href]",
+)
+
+
+@query("u3_other_markup", """SELECT p_partkey AS id, p_partkey // 20 + 1 AS page, 'Offer ' || p_name AS title, 'About ' || p_type || ' of ' || p_brand AS description,
+  CAST(floor(p_retailprice) AS DOUBLE) AS amount, 'offers' AS root, p_partkey // 20 < (SELECT max(p_partkey // 20) FROM part) AS has_next FROM part""")
+def u3_markup(spark, sf):
+    """A site with markup of its own, read with selectors for cards, texts, prices, root and next link."""
+    part = table(spark, sf, "part")
+    key, text_ = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    tile = F.concat(
+        F.lit('<div class="tile wide"><div><h4><a href="/projects/'), text_, F.lit('/">Offer '), "p_name", F.lit('</a></h4></div><q data-role="Summary text">About '),
+        "p_type", F.lit(" of "), "p_brand", F.lit('</q>'),
+        F.when(key % 2 == 0, F.concat(F.lit('<i class="cost">'), F.floor("p_retailprice").cast("string"), F.lit(" руб</i>")))
+        .otherwise(F.concat(F.lit('<i><b data-cost="1">'), F.floor("p_retailprice").cast("string"), F.lit(" руб</b></i>"))), F.lit("</div>"))
+    listed = part.groupBy((F.floor(key / 20) + 1).cast("int").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct(key.alias("k"), tile.alias("tile")))).alias("tiles"))
+    last = listed.agg(F.max("page")).first()[0]
+    onward = F.when(F.col("page") < last, F.concat(F.lit('<a class="onward" href="/projects/page-'), (F.col("page") + 1).cast("string"), F.lit('/">more</a>'))).otherwise("")
+    pages_ = dealt(listed).select(
+        "page", F.concat(F.lit("https://market.example.org/projects/page-"), F.col("page").cast("string"), F.lit("/")).alias("url"),
+        F.concat(F.lit('<body><div class="tile"><a href="/projects/1/">advert</a></div><div id="offers">'), F.array_join(F.col("tiles.tile"), ""), onward, F.lit("</div></body>")).alias("html"))
+    found = catalog.catalog_pages(pages_, False, OTHER_MARKUP)
+    items = catalog.catalog_items(found.withColumn("root", F.col("root_selector")), keep_pages=True, selectors=OTHER_MARKUP)
+    return items.select("id", F.col("page").cast("long").alias("page"), "title", "description", F.col("budget.amount_min").cast("double").alias("amount"), "root", "has_next")
