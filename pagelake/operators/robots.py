@@ -40,36 +40,49 @@ def robots_rules(files: DataFrame) -> DataFrame:
         ),
         lambda l: l["key"].isin("blank", "user-agent", *RULE_KEYS),
     )
-    empty = F.struct(
-        F.array().cast("array<string>").alias("agents"),
-        F.lit(False).alias("in_rules"),
-        F.array().cast("array<struct<agents:array<string>,ord:int,allow:boolean,prefix:string,match:string>>").alias("rules"),
+    return files.select("host", let(lines, _rules).alias("rules"))
+
+
+def _rules(lines: Column) -> Column:
+    """The rules of a file from its significant lines.
+
+    Blank lines aside, lines form sections of agent names and of rules; a blank line between two rules starts a new
+    section too. A section of rules that follows one of agents belongs to them; any other belongs to no one. Sections
+    are found from each line's neighbours, so the work grows with the lines.
+    """
+    marked = F.filter(
+        F.transform(lines, lambda l, i: F.struct(
+            (l["key"] == "user-agent").alias("agent"), l["key"].alias("key"), l["value"].alias("value"),
+            F.coalesce(F.get(lines, i - 1)["key"] == "blank", F.lit(False)).alias("apart"))),
+        lambda l: l["key"] != "blank",
     )
 
-    def step(acc: Column, line: Column) -> Column:
-        is_agent = line["key"] == "user-agent"
-        name = F.array(F.lower(F.split(line["value"], "/")[0]))
-        fresh = F.when(acc["in_rules"], name).otherwise(F.concat(acc["agents"], name))
-        is_last = line["key"].isin(*RULE_KEYS) & (F.size(acc["agents"]) > 0)
-        is_rule = is_last & line["key"].isin("allow", "disallow")
+    def sections(found: Column) -> Column:
+        def begins(l: Column, i: Column) -> Column:
+            return (i == 0) | (F.get(found, i - 1)["agent"] != l["agent"]) | (~l["agent"] & l["apart"])
+
+        starts = F.filter(F.transform(found, lambda l, i: F.when(begins(l, i), i)), lambda i: i.isNotNull())
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.slice(
+            found, i + 1, F.coalesce(F.get(at, k + 1), F.size(found)) - i)))
+
+    def rule(l: Column, names: Column) -> Column:
         # A rule without a path allows everything.
-        rule = F.struct(
-            acc["agents"].alias("agents"),
-            F.size(acc["rules"]).alias("ord"),
-            ((line["key"] == "allow") | (line["value"] == "")).alias("allow"),
-            line["value"].alias("prefix"),
-            decoded(line["value"]).alias("match"),
-        )
-        agents = (
-            F.when(is_agent, fresh)
-            .when((line["key"] == "blank") & acc["in_rules"], F.array().cast("array<string>"))
-            .otherwise(acc["agents"])
-        )
-        in_rules = F.when(is_agent | (line["key"] == "blank"), False).otherwise(acc["in_rules"] | is_last)
-        rules = F.when(is_rule, F.concat(acc["rules"], F.array(rule))).otherwise(acc["rules"])
-        return F.struct(agents.alias("agents"), in_rules.alias("in_rules"), rules.alias("rules"))
-
-    return files.select("host", F.aggregate(lines, empty, step)["rules"].alias("rules"))
+        return F.struct(
+            names.alias("agents"), ((l["key"] == "allow") | (l["value"] == "")).alias("allow"),
+            l["value"].alias("prefix"), decoded(l["value"]).alias("match"))
+
+    def of_section(section: Column, before: Column) -> Column:
+        names = F.transform(before, lambda l: F.lower(F.split(l["value"], "/")[0]))
+        return let(names, lambda n: F.transform(F.filter(section, lambda l: l["key"].isin("allow", "disallow")), lambda l: rule(l, n)))
+
+    def rules(found: Column) -> Column:
+        own = F.transform(found, lambda section, k: F.when(
+            ~F.get(section, F.lit(0))["agent"] & F.coalesce(F.get(F.get(found, k - 1), F.lit(0))["agent"], F.lit(False)),
+            of_section(section, F.get(found, k - 1))))
+        return F.transform(F.flatten(F.filter(own, lambda r: r.isNotNull())), lambda r, i: F.struct(
+            r["agents"].alias("agents"), i.alias("ord"), r["allow"].alias("allow"), r["prefix"].alias("prefix"), r["match"].alias("match")))
+
+    return let(let(marked, sections), rules)
 
 
 def rule_rows(rules: DataFrame) -> DataFrame:
