@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.catalog_queries import BRANDS, brand_pages
-from checks.event_queries import HASH_SQL, T0, T1, order_items, order_state
+from checks.event_queries import COUNT, FAILED, HASH_SQL, LOG, T0, T1, order_items, order_state, request_events, rounded
 from checks.render import fetched_at, table
 from pagelake.functions import urls
 from pagelake.session import materialize
@@ -194,3 +194,24 @@ def t5_sessions(spark, sf):
     """Bursts of each user's events with pauses of up to six hours, from a stream with late events."""
     found = landed(jobs.live_sessions(arriving_events(spark, sf), "6 hours", "user_id", DELAY))
     return found.select("user_id", to_second("session_start").alias("session_start"), to_second("session_end").alias("session_end"), "events")
+
+
+# ---- live counters ---------------------------------------------------------------------
+
+
+@query("a1_live_counters", LOG + f"""SELECT {COUNT.format("phase = 'start'")} AS requests_total, {COUNT.format(FAILED)} AS failures_total,
+  {COUNT.format("phase = 'blocked'")} AS blocked_total, sum(bytes)::BIGINT AS bytes_received, round(sum(elapsed), 3) AS latency_seconds_total, 2 AS event_handler_failures_total FROM r""")
+def a1_live(spark, sf):
+    """The request log arrives in three parts, the handler fails on two of them, and the stream is started again after each."""
+    events, path, progress = request_events(spark, sf), st.fresh_folder(spark, "counters"), st.fresh_folder(spark, "progress")
+    stream = arrival(events, 3, F.pmod(F.col("event_id"), F.lit(3)))
+
+    def handler(batch: DataFrame, batch_id: int) -> None:
+        if batch_id != 1:
+            raise ValueError("handler")
+
+    for _ in range(2):
+        writer = stream.writeStream.foreachBatch(jobs.observed(handler, path)).option("checkpointLocation", progress)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    found = rounded(jobs.live_counters(spark, path), "latency_seconds_total")
+    return found.select("requests_total", "failures_total", "blocked_total", "bytes_received", F.round("latency_seconds_total", 3).alias("latency_seconds_total"), "event_handler_failures_total")

@@ -175,12 +175,13 @@ def last_page_wins(items: DataFrame, keys: Sequence[str] = ("username", "id")) -
     )
 
 
-def distinct_categories(links: DataFrame) -> DataFrame:
-    """Categories behind category links, the first link per URL; needs ``url, name, ord``."""
+def distinct_categories(links: DataFrame, crawl_key: str | None = None) -> DataFrame:
+    """Categories behind category links, the first link per URL (of each crawl); needs ``url, name, ord``."""
     slug = F.nullif(F.regexp_extract("url", K.CATEGORY_SLUG, 1), F.lit(""))
     named = links.filter(F.col("url").contains(K.CATEGORY_HREF) & F.col("name").isNotNull())
-    return first_per_key(named.select("name", "url", "ord"), F.col("url"), ["ord"]).select(
-        "name", "url", "ord",
+    keys = [crawl_key] if crawl_key else []
+    return first_per_key(named.select(*keys, "name", "url", "ord"), F.struct(*keys, "url"), ["ord"]).select(
+        *keys, "name", "url", "ord",
         slug.alias("slug"),
         F.when(slug.contains("/"), F.substring_index(slug, "/", 1)).alias("parent"),
     )

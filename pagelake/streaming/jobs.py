@@ -194,14 +194,34 @@ def guarded(step: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int]
     return run
 
 
-def observed(handler: Callable[[DataFrame, int], None], failures: list[int]) -> Callable[[DataFrame, int], None]:
-    """Wrap a user handler: its errors are logged and counted, the stream goes on."""
+def observed(handler: Callable[[DataFrame, int], None], path: str) -> Callable[[DataFrame, int], None]:
+    """Wrap a user handler of events: its errors are logged and counted, the stream goes on.
+
+    Every micro-batch leaves one row of request counters under ``path``, with whether its handler failed. A batch
+    that is run again replaces its row, and a restarted stream goes on with the same table: ``live_counters``.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch, failed = batch.persist(), 0
         try:
-            handler(metrics.safe_events(batch), batch_id)
-        except Exception:
-            log.exception("event handler failed")
-            failures.append(batch_id)
+            try:
+                handler(metrics.safe_events(batch), batch_id)
+            except Exception:
+                log.exception("event handler failed")
+                failed = 1
+            counted = metrics.request_counters(batch).withColumn(
+                HANDLER_FAILURES, F.col(HANDLER_FAILURES) + F.lit(failed))
+            counted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return run
+
+
+HANDLER_FAILURES = "event_handler_failures_total"
+
+
+def live_counters(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the counters of all micro-batches that ``observed`` has seen, across restarts."""
+    rows = spark.read.option("basePath", path).parquet(path).drop("batch")
+    return rows.agg(*[F.sum(c).alias(c) for c in rows.columns])

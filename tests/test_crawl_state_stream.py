@@ -207,14 +207,21 @@ def test_live_metrics_equal_batch_and_handlers_cannot_stop_them(spark, tmp_path)
     q.awaitTermination(120)
     assert sorted(map(tuple, spark.table("live").collect())) == sorted(map(tuple, metrics.windowed_metrics(events, "ts", "1 hour").collect()))
 
-    failures, urls = [], []
+    urls = []
 
     def handler(batch, batch_id):
         urls.extend(r.url for r in batch.select("url").collect())
         raise ValueError("handler")
 
-    stream.writeStream.foreachBatch(jobs.observed(handler, failures)).trigger(availableNow=True).start().awaitTermination(120)
-    assert failures == [0] and all("token=***" in u and "u:p" not in u for u in urls)
+    full = events.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("status_code", "int"), ("error_kind", "string"), ("bytes", "long"))])
+    for hour in range(3):  # a restart after every file
+        full.filter(F.col("page") % 3 == hour).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        log = spark.readStream.schema(full.schema).parquet(f"{tmp_path}/log")
+        writer = log.writeStream.foreachBatch(jobs.observed(handler if hour < 2 else (lambda b, i: None), f"{tmp_path}/counters"))
+        writer.option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination(120)
+    counted = jobs.live_counters(spark, f"{tmp_path}/counters").first()
+    assert counted.event_handler_failures_total == 2 and counted.failures_total == 15
+    assert len(urls) == 40 and all("token=***" in u and "u:p" not in u for u in urls)
 
 
 def test_stream_dedupe_and_block_stop(spark, tmp_path):

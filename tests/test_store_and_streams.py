@@ -120,6 +120,16 @@ def test_state_and_checkpoints_of_one_folder_share_commits(spark, tmp_path):
     assert {r.id for r in again.ok.collect()} == first and state.store.manifest().version == 2
 
 
+def test_an_unreadable_page_is_asked_for_again(spark, tmp_path):
+    state, marks = st.state_table(spark, f"{tmp_path}/s"), st.checkpoint_table(spark, f"{tmp_path}/s")
+    first = verbs.new_projects(listing(spark, "a", 4, bad=(3,)), state, marks, batch=1, types=[])
+    assert {r.page for r in first.ok.collect()} == {1, 2} and [(r.page, r.error.kind) for r in first.failed.collect()] == [(3, "empty_page")]
+    assert marks.read().first().next_page == 3
+    second = verbs.new_projects(listing(spark, "a", 4), state, marks, batch=2, types=[])
+    assert {r.page for r in second.ok.collect()} == {3, 4} and second.failed.count() == 0
+    assert {r.id for r in state.read().collect()} == set(range(100, 117))
+
+
 # ---- stream of projects -------------------------------------------------------------------------
 
 
@@ -196,6 +206,42 @@ def test_patience_gives_up_missing_pages(spark, tmp_path):
     assert {r.page for r in got.ok.collect()} == {1, 3, 4, 5, 6}
 
 
+# ---- verbs per user and page ---------------------------------------------------------------------
+
+
+def profile_page(name, page, ids):
+    body = "".join(
+        f'<section class="review"><a href="/users/s-1/">A</a><p>Положительный отзыв номер {i}</p></section>'
+        f'<div class="portfolio"><a href="/users/{name}/portfolio/{i}/">Work {i}</a></div>'
+        f'<article class="project-card"><h2><a href="/projects/{i}/x.html">Item {i} of page {page}</a></h2></article>' for i in ids)
+    return f"https://m.example.org/users/{name}/" if name else "https://m.example.org/about/", page, f"<title>T</title><body><main><h1>N</h1>{body}</main></body>"
+
+
+def test_sections_of_users_and_their_failures(spark):
+    pages = spark.createDataFrame([profile_page("u", 1, [1, 2]), profile_page("u", 2, [2, 3]), profile_page("v", 1, [9]), profile_page("", 1, [5])], "url string, page int, html string")
+    owned = verbs.user_projects(pages)
+    assert sorted((r.username, r.id, r.title) for r in owned.ok.collect()) == [
+        ("u", 1, "Item 1 of page 1"), ("u", 2, "Item 2 of page 2"), ("u", 3, "Item 3 of page 2"), ("v", 9, "Item 9 of page 1")]
+    assert [(r.page, r.error.kind) for r in owned.failed.collect()] == [(1, "parse_error")]
+    assert sorted((r.username, r.page) for r in verbs.user_reviews(pages).ok.collect()) == [("u", 1), ("u", 1), ("u", 2), ("v", 1)]
+    assert sorted((r.username, r.title) for r in verbs.user_portfolio(pages, page_count=1).ok.collect()) == [("u", "Work 1"), ("u", "Work 2"), ("v", "Work 9")]
+    found = verbs.users_result(pages, "S")
+    assert sorted(r.username for r in found.ok.collect()) == ["u", "v"] and found.failed.first().error.message.startswith("no user")
+
+
+def test_pages_that_cannot_be_read_and_categories_of_crawls(spark):
+    link = '<a href="/projects/category/{}/">{}</a>'
+    pages = spark.createDataFrame([
+        ("https://e.org/captcha", "a", 1, "<p>x"), ("https://e.org/2", "a", 2, "<div></div>"),
+        ("https://e.org/3", "a", 3, link.format("x", "X")), ("https://e.org/4", "b", 1, link.format("x", "Again") + link.format("y", "Y"))],
+        "url string, site string, page int, html string")
+    found = verbs.page_result(pages)
+    assert sorted((r.url[-1], r.error.kind) for r in found.failed.collect()) == [("2", "empty_page"), ("a", "blocked")] and found.ok.count() == 2
+    by_crawl = verbs.categories(pages, crawl_key="site").collect()
+    assert sorted((r.crawl, r.slug, r.name) for r in by_crawl) == [("a", "x", "X"), ("b", "x", "Again"), ("b", "y", "Y")]
+    assert sorted((r.slug, r.name) for r in verbs.categories(pages.drop("page").filter("site = 'b'")).collect()) == [("x", "Again"), ("y", "Y")]
+
+
 # ---- keyed change tracker -----------------------------------------------------------------------
 
 
