@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagelake.llm import (
     chat, components, decontaminate, exact_dedup, extract, line_dedup, mixing, ngram_join, quality, toxicity, warc,
@@ -310,7 +311,35 @@ def test_exact_dedup_equals_plain_grouping(spark):
         got = exact_dedup.exact_groups(docs(spark, rows), runs)
         assert rows_of(got, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == sorted(want, key=repr)
     assert exact_dedup.exact_groups(docs(spark, rows).limit(0)).count() == 0
-    assert exact_dedup.deduplicate(docs(spark, rows)).columns == docs(spark, rows).columns
+    kept = exact_dedup.deduplicate(docs(spark, rows))
+    assert kept.columns == docs(spark, rows).columns
+    keep = {(i, t) for i, t, _ in rows if i in {w[1] for w in want}} | {(None, "only null")}
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} >= {k for k in keep if k[0] is not None and (k[0], k[1]) in {(i, t) for i, t, _ in rows}}
+
+
+def test_exact_dedup_merges_sorted_runs(spark):
+    rng = random.Random(4)
+    table = docs(spark, [(i, rng.choice(["hot", f"t{rng.randrange(90)}"]), "s") for i in range(600)])
+    rows = exact_dedup.digest_rows(table, 8)
+    first = rows.groupBy(*exact_dedup.KEY, "run").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    level, entries = exact_dedup.sorted_runs(first, 5), first.count()
+    for runs in (8, 4, 2, 1):
+        found = level.collect()
+        assert {r["run"] for r in found} <= set(range(runs)) and len({r["slice"] for r in found}) == 5
+        for r in found:
+            keys = [(e.digest, e.chars, e.check) for e in r["entries"]]
+            # strictly ascending: in order, and each digest once
+            assert all(a < b for a, b in zip(keys, keys[1:], strict=False))
+            assert all(int(e.digest[:8], 16) * 5 // 2**32 == r["slice"] for e in r["entries"])
+        total = [e for r in found for e in r["entries"]]
+        assert sum(e.group_size for e in total) == 600 and len(total) <= entries
+        entries = len(total)
+        level = exact_dedup.merge_round(level)
+    assert entries == len({r["text"] for r in table.collect()})
+    found = exact_dedup.exact_groups(table, 8, 100)
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    # One order to make the runs, and one per round of merging them.
+    assert plan.count("sort_array(") == 4 and "collect_list(entries" in plan and not re.search("Python|Arrow|MapIn", plan)
 
 
 # ---- 5 WARC --------------------------------------------------------------------------------------
