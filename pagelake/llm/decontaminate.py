@@ -1,7 +1,7 @@
 """Benchmark decontamination with a generalised suffix automaton over the words of the test items.
 
-Items are normalised to word numbers and fed to one automaton per block of items; a block is bounded
-in words, so what is broadcast is bounded too, and more items mean more blocks, not a larger one.
+Items are normalised to word numbers and fed to one automaton per block of items, built once in a task and stored; a
+block is bounded in words, so what is sent at once is bounded too, and more items mean more blocks, not larger ones.
 Documents stream through: at each word the automaton holds the longest match that ends there. Words
 inside a match of at least ``window`` words are hit; an item shorter than the window is one window
 by itself. Stretches that cannot hold a match, because a pair of neighbours occurs in no item, are
@@ -10,15 +10,16 @@ skipped beforehand with whole-array operations.
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import IS_BREAK, in_slices, row_of, small_batches, text_bytes, word_hashes
+from pagelake.llm.common import IS_BREAK, free_name, in_slices, row_of, small_batches, stored, text_bytes, word_hashes
 
 BLOCK_WORDS = 200_000
 WINDOW = 10
@@ -125,25 +126,29 @@ class Automaton:
                 at = self.short_above.get(link[at])
 
 
-def _item_words(text: str | None) -> np.ndarray:
-    hashes, _ = word_hashes(*text_bytes(pa.array([text], pa.string())), IS_BREAK)
-    return hashes
+def stored_blocks(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """(block, data): the items dealt to blocks of about ``block_words`` words, each built once into a ``Matcher``.
 
+    A block is built in one task, from as many words as a block has; no item passes the driver.
+    """
+    def count(batches):
+        for batch in in_slices(batches, "text"):
+            hashes, bounds = word_hashes(*text_bytes(batch.column("text")), IS_BREAK)
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), lists], names=["item_id", "words"])
+
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+    words = stored(small_batches(items).mapInArrow(count, "item_id string, words array<bigint>"))
+    total = words.agg(F.sum(F.size("words"))).first()[0] or 0
+    blocks = max(1, -(-total // block_words))
 
-def blocks_of(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, np.ndarray]]]:
-    """Items in blocks of about ``block_words`` words; the driver holds one block at a time."""
-    block: list[tuple[str, np.ndarray]] = []
-    size = 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    for row in rows.toLocalIterator():
-        words = _item_words(row["text"])
-        block.append((row["item_id"] or "", words))
-        size += len(words)
-        if size >= block_words:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    def build(rows: pa.Table) -> pa.Table:
+        block = [(i, np.array(w, np.int64).view(np.uint64)) for i, w in zip(rows["item_id"].to_pylist(), rows["words"].to_pylist(), strict=True)]
+        block.sort(key=lambda x: (x[0], x[1].tolist()))
+        return pa.table({"block": rows["block"].slice(0, 1), "data": [pickle.dumps(Matcher(block, window))]})
+
+    dealt = words.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)).cast("int"))
+    return stored(dealt.groupBy("block").applyInArrow(build, "block int, data binary"))
 
 
 class Matcher:
@@ -210,41 +215,76 @@ SPANS_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def with_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` (whatever columns it has) with _spans (hit words, half open, merged), _items and _words."""
-    names = [c for c in docs.columns if c not in ("_spans", "_items", "_words")]
-    out = small_batches(docs).select(
-        *names, F.array().cast("array<struct<start: bigint, stop: bigint>>").alias("_spans"),
-        F.array().cast("array<string>").alias("_items"), F.lit(0).cast("bigint").alias("_words"),
-    )
-    number = -1
-    for number, block in enumerate(blocks_of(benchmark, block_words)):
-        out = _one_block(out, block, window, number)
-    return out if number >= 0 else _one_block(out, [], window, 0)
+    """``docs`` (whatever columns it has) with _spans (hit words, half open, merged), _items and _words.
 
-
-def _one_block(docs: DataFrame, block: list, window: int, number: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+    One block at a time is held by the driver and sent to the tasks. A benchmark of one block is one pass over the
+    documents; with more, each pass keeps what it hits, which is put together per document at the end.
+    """
+    names = [c for c in docs.columns if c not in ("_spans", "_items", "_words")]
+    blocks = stored_blocks(benchmark, window, block_words)
+    numbers = sorted(r["block"] for r in blocks.select("block").collect())
+    docs = small_batches(docs).select(*names)
+    if len(numbers) <= 1:
+        return _one_block(docs, _load(blocks, numbers, window))
+    row = free_name(docs, "row")
+    docs = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    found, counted = [], None
+    for number in numbers:
+        shared = _load(blocks, [number], window)
+        hits = _one_block(docs.select(F.col(row).alias("row"), "text"), shared).drop("text")
+        if counted is None:
+            hits = stored(hits)
+            counted = hits.select(F.col("row").alias(row), "_words")
+            found.append(hits.filter(F.size("_spans") > 0))
+        else:
+            found.append(stored(hits.filter(F.size("_spans") > 0)))
+        shared.unpersist()
+    # The spans of a document are bounded by its words, whatever the number of blocks.
+    met = reduce(DataFrame.unionByName, found).groupBy("row").agg(F.collect_list("_spans").alias("spans"), F.collect_list("_items").alias("items"))
+    hits = met.mapInArrow(_put_together, "row bigint, _spans array<struct<start: bigint, stop: bigint>>, _items array<string>")
+    hits = hits.withColumnRenamed("row", row)
+    none = F.array()
+    return docs.join(counted, row).join(hits, row, "left").select(
+        *names, F.coalesce("_spans", none.cast("array<struct<start: bigint, stop: bigint>>")).alias("_spans"),
+        F.coalesce("_items", none.cast("array<string>")).alias("_items"), "_words")
+
+
+def _put_together(batches):
+    """Rows of (row, lists of spans, lists of items) of several blocks, as merged spans and distinct items."""
+    for batch in batches:
+        spans = [merged([(s["start"], s["stop"]) for some in lists for s in some]) for lists in batch.column("spans").to_pylist()]
+        items = [sorted({i for some in lists for i in some}) for lists in batch.column("items").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array([[{"start": a, "stop": b} for a, b in x] for x in spans], SPANS_TYPE),
+             pa.array(items, pa.list_(pa.string()))], names=["row", "_spans", "_items"])
+
+
+def _load(blocks: DataFrame, numbers: list[int], window: int):
+    """The stored matcher of a block, sent to all tasks; an empty one without blocks."""
+    rows = blocks.filter(F.col("block").isin(numbers)).collect() if numbers else []
+    data = rows[0]["data"] if rows else pickle.dumps(Matcher([], window))
+    return blocks.sparkSession.sparkContext.broadcast(bytes(data))
+
+
+def _one_block(docs: DataFrame, shared) -> DataFrame:
+    """``docs`` with _spans, _items and _words for one block."""
+    names = docs.columns
+    kinds = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
 
     def run(batches):
-        matcher = Matcher(shared.value, window)
+        matcher = pickle.loads(shared.value)
         for batch in in_slices(batches, "text"):
             hashes, bounds = word_hashes(*text_bytes(batch.column("text")), IS_BREAK)
             spans, found = matcher.match(hashes, bounds)
-            old_spans = batch.column("_spans").to_pylist() if number else [[]] * batch.num_rows
-            old_items = batch.column("_items").to_pylist() if number else [[]] * batch.num_rows
-            all_spans, all_items = [], []
-            for i in range(batch.num_rows):
-                both = [(s["start"], s["stop"]) for s in old_spans[i]] + spans.get(i, [])
-                all_spans.append([{"start": a, "stop": b} for a, b in merged(both)])
-                all_items.append(old_items[i] + [matcher.automaton.ids[k] for k in found.get(i, ())])
-            made = {
-                "_spans": pa.array(all_spans, SPANS_TYPE), "_items": pa.array(all_items, pa.list_(pa.string())),
-                "_words": pa.array(np.diff(bounds), pa.int64()),
-            }
-            columns = [made.get(n, batch.column(n)) for n in batch.schema.names]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return docs.mapInArrow(run, docs.schema)
+            rows = range(batch.num_rows)
+            made = [
+                pa.array([[{"start": a, "stop": b} for a, b in merged(spans.get(i, []))] for i in rows], SPANS_TYPE),
+                pa.array([[matcher.automaton.ids[k] for k in found.get(i, ())] for i in rows], pa.list_(pa.string())),
+                pa.array(np.diff(bounds), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, "_spans", "_items", "_words"])
+
+    return docs.mapInArrow(run, f"{kinds}, _spans array<struct<start: bigint, stop: bigint>>, _items array<string>, _words bigint")
 
 
 def _hit() -> Column:
