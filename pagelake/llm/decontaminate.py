@@ -214,18 +214,21 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 SPANS_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def with_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` (whatever columns it has) with _spans (hit words, half open, merged), _items and _words.
+def with_spans(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
+) -> tuple[DataFrame, tuple[str, str, str]]:
+    """``docs`` with three new columns, and their names: spans of hit words (half open, merged), items, number of words.
 
     One block at a time is held by the driver and sent to the tasks. A benchmark of one block is one pass over the
     documents; with more, each pass keeps what it hits, which is put together per document at the end.
     """
-    names = [c for c in docs.columns if c not in ("_spans", "_items", "_words")]
+    names = docs.columns
+    made = tuple(free_name(docs, n) for n in ("_spans", "_items", "_words"))
     blocks = stored_blocks(benchmark, window, block_words)
     numbers = sorted(r["block"] for r in blocks.select("block").collect())
-    docs = small_batches(docs).select(*names)
+    docs = small_batches(docs)
     if len(numbers) <= 1:
-        return _one_block(docs, _load(blocks, numbers, window))
+        return _one_block(docs, _load(blocks, numbers, window), made), made
     row = free_name(docs, "row")
     docs = stored(docs.withColumn(row, F.monotonically_increasing_id()))
     found, counted = [], None
@@ -234,7 +237,7 @@ def with_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
         hits = _one_block(docs.select(F.col(row).alias("row"), "text"), shared).drop("text")
         if counted is None:
             hits = stored(hits)
-            counted = hits.select(F.col("row").alias(row), "_words")
+            counted = hits.select(F.col("row").alias(row), F.col("_words").alias(made[2]))
             found.append(hits.filter(F.size("_spans") > 0))
         else:
             found.append(stored(hits.filter(F.size("_spans") > 0)))
@@ -242,11 +245,11 @@ def with_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
     # The spans of a document are bounded by its words, whatever the number of blocks.
     met = reduce(DataFrame.unionByName, found).groupBy("row").agg(F.collect_list("_spans").alias("spans"), F.collect_list("_items").alias("items"))
     hits = met.mapInArrow(_put_together, "row bigint, _spans array<struct<start: bigint, stop: bigint>>, _items array<string>")
-    hits = hits.withColumnRenamed("row", row)
+    hits = hits.select(F.col("row").alias(row), F.col("_spans").alias(made[0]), F.col("_items").alias(made[1]))
     none = F.array()
     return docs.join(counted, row).join(hits, row, "left").select(
-        *names, F.coalesce("_spans", none.cast("array<struct<start: bigint, stop: bigint>>")).alias("_spans"),
-        F.coalesce("_items", none.cast("array<string>")).alias("_items"), "_words")
+        *names, F.coalesce(made[0], none.cast("array<struct<start: bigint, stop: bigint>>")).alias(made[0]),
+        F.coalesce(made[1], none.cast("array<string>")).alias(made[1]), made[2]), made
 
 
 def _put_together(batches):
@@ -266,8 +269,8 @@ def _load(blocks: DataFrame, numbers: list[int], window: int):
     return blocks.sparkSession.sparkContext.broadcast(bytes(data))
 
 
-def _one_block(docs: DataFrame, shared) -> DataFrame:
-    """``docs`` with _spans, _items and _words for one block."""
+def _one_block(docs: DataFrame, shared, made: tuple[str, str, str] = ("_spans", "_items", "_words")) -> DataFrame:
+    """``docs`` with the spans, items and words of one block, under the names ``made``."""
     names = docs.columns
     kinds = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
 
@@ -277,18 +280,19 @@ def _one_block(docs: DataFrame, shared) -> DataFrame:
             hashes, bounds = word_hashes(*text_bytes(batch.column("text")), IS_BREAK)
             spans, found = matcher.match(hashes, bounds)
             rows = range(batch.num_rows)
-            made = [
+            columns = [
                 pa.array([[{"start": a, "stop": b} for a, b in merged(spans.get(i, []))] for i in rows], SPANS_TYPE),
                 pa.array([[matcher.automaton.ids[k] for k in found.get(i, ())] for i in rows], pa.list_(pa.string())),
                 pa.array(np.diff(bounds), pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, "_spans", "_items", "_words"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*names, *made])
 
-    return docs.mapInArrow(run, f"{kinds}, _spans array<struct<start: bigint, stop: bigint>>, _items array<string>, _words bigint")
+    types = ("array<struct<start: bigint, stop: bigint>>", "array<string>", "bigint")
+    return docs.mapInArrow(run, ", ".join([kinds, *(f"`{n}` {t}" for n, t in zip(made, types, strict=True))]))
 
 
-def _hit() -> Column:
-    return F.aggregate("_spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+def _hit(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -298,11 +302,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     Null texts have no words; items without words never occur; items with one id count once; repeated
     rows are answered one by one; a null item_id counts as the empty id. An empty benchmark hits nothing.
     """
-    items = F.array_sort(F.array_distinct("_items"))
-    spans = with_spans(docs.select("doc_id", "text"), benchmark, window, block_words)
-    return spans.select(
-        "doc_id", F.col("_words").alias("n_words"), _hit().alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size("_spans") > 0).alias("contaminated"),
+    found, (spans, items, n) = with_spans(docs.select("doc_id", "text"), benchmark, window, block_words)
+    items = F.array_sort(F.array_distinct(items))
+    return found.select(
+        "doc_id", F.col(n).alias("n_words"), _hit(spans).alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size(spans) > 0).alias("contaminated"),
     )
 
 
@@ -312,16 +316,18 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without benchmark passages: spans are cut, and rows hit for more than ``most_coverage`` go.
 
-    Null texts stay. Cutting removes everything from the first to the last character of a span.
+    Null texts stay, and so does every row without an item. Repeated rows stay or go together; very long texts are
+    read whole. Cutting removes everything from the first to the last character of a span. Other columns pass as
+    they are, whatever their names; an empty table gives no rows.
     """
-    spans = with_spans(docs, benchmark, window, block_words)
-    kept = spans.filter(_hit() <= F.col("_words") * F.lit(most_coverage))
+    found, (hit, _, n) = with_spans(docs, benchmark, window, block_words)
+    kept = found.filter(_hit(hit) <= F.col(n) * F.lit(most_coverage))
 
     def run(batches):
         for batch in in_slices(batches, "text"):
             texts = batch.column("text").to_pylist()
-            spans = batch.column("_spans").to_pylist()
-            done = [cut(t, [(s["start"], s["stop"]) for s in hit]) if hit else t for t, hit in zip(texts, spans, strict=True)]
+            spans = batch.column(hit).to_pylist()
+            done = [cut(t, [(s["start"], s["stop"]) for s in own]) if own else t for t, own in zip(texts, spans, strict=True)]
             columns = [pa.array(done, pa.string()) if n == "text" else c for n, c in zip(batch.schema.names, batch.columns, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
