@@ -126,8 +126,8 @@ class Automaton:
                 at = self.short_above.get(link[at])
 
 
-def stored_blocks(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
-    """(block, data): the items dealt to blocks of about ``block_words`` words, each built once into a ``Matcher``.
+def stored_blocks(benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, list[int]]:
+    """((block, data), block numbers): items dealt to blocks of about ``block_words`` words, each built once into a ``Matcher``.
 
     A block is built in one task, from as many words as a block has; no item passes the driver.
     """
@@ -148,7 +148,8 @@ def stored_blocks(benchmark: DataFrame, window: int, block_words: int) -> DataFr
         return pa.table({"block": rows["block"].slice(0, 1), "data": [pickle.dumps(Matcher(block, window))]})
 
     dealt = words.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)).cast("int"))
-    return stored(dealt.groupBy("block").applyInArrow(build, "block int, data binary"))
+    built = stored(dealt.groupBy("block").applyInArrow(build, "block int, data binary"))
+    return built, sorted(r["block"] for r in built.select("block").collect())
 
 
 class Matcher:
@@ -215,17 +216,17 @@ SPANS_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def with_spans(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
+    docs: DataFrame, blocks: DataFrame, numbers: list[int], window: int = WINDOW
 ) -> tuple[DataFrame, tuple[str, str, str]]:
     """``docs`` with three new columns, and their names: spans of hit words (half open, merged), items, number of words.
 
+    ``blocks`` and their ``numbers`` come from ``stored_blocks``.
+
     One block at a time is held by the driver and sent to the tasks. A benchmark of one block is one pass over the
     documents; with more, each pass keeps what it hits, which is put together per document at the end.
     """
     names = docs.columns
     made = tuple(free_name(docs, n) for n in ("_spans", "_items", "_words"))
-    blocks = stored_blocks(benchmark, window, block_words)
-    numbers = sorted(r["block"] for r in blocks.select("block").collect())
     docs = small_batches(docs)
     if len(numbers) <= 1:
         return _one_block(docs, _load(blocks, numbers, window), made), made
@@ -302,7 +303,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     Null texts have no words; items without words never occur; items with one id count once; repeated
     rows are answered one by one; a null item_id counts as the empty id. An empty benchmark hits nothing.
     """
-    found, (spans, items, n) = with_spans(docs.select("doc_id", "text"), benchmark, window, block_words)
+    found, (spans, items, n) = with_spans(docs.select("doc_id", "text"), *stored_blocks(benchmark, window, block_words), window)
     items = F.array_sort(F.array_distinct(items))
     return found.select(
         "doc_id", F.col(n).alias("n_words"), _hit(spans).alias("n_hit"), F.size(items).cast("long").alias("n_items"),
@@ -320,18 +321,37 @@ def decontaminate(
     read whole. Cutting removes everything from the first to the last character of a span. Other columns pass as
     they are, whatever their names; an empty table gives no rows.
     """
-    found, (hit, _, n) = with_spans(docs, benchmark, window, block_words)
+    blocks, numbers = stored_blocks(benchmark, window, block_words)
+    if len(numbers) <= 1:
+        # Matching and cutting in one pass, so that a task needs one Python worker.
+        shared = _load(blocks, numbers, window)
+
+        def run(batches):
+            matcher = pickle.loads(shared.value)
+            for batch in in_slices(batches, "text"):
+                hashes, bounds = word_hashes(*text_bytes(batch.column("text")), IS_BREAK)
+                hits, _ = matcher.match(hashes, bounds)
+                spans = [merged(hits.get(i, [])) for i in range(batch.num_rows)]
+                kept = [sum(b - a for a, b in own) <= n * most_coverage for own, n in zip(spans, np.diff(bounds).tolist(), strict=True)]
+                yield _cut_texts(batch, spans).filter(pa.array(kept, pa.bool_()))
+
+        return small_batches(docs).mapInArrow(run, docs.schema)
+    found, (hit, _, n) = with_spans(docs, blocks, numbers, window)
     kept = found.filter(_hit(hit) <= F.col(n) * F.lit(most_coverage))
 
-    def run(batches):
+    def cut_all(batches):
         for batch in in_slices(batches, "text"):
-            texts = batch.column("text").to_pylist()
-            spans = batch.column(hit).to_pylist()
-            done = [cut(t, [(s["start"], s["stop"]) for s in own]) if own else t for t, own in zip(texts, spans, strict=True)]
-            columns = [pa.array(done, pa.string()) if n == "text" else c for n, c in zip(batch.schema.names, batch.columns, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield _cut_texts(batch, [[(s["start"], s["stop"]) for s in own] for own in batch.column(hit).to_pylist()])
+
+    return kept.mapInArrow(cut_all, kept.schema).select(*docs.columns)
+
 
-    return kept.mapInArrow(run, kept.schema).select(*docs.columns)
+def _cut_texts(batch: pa.RecordBatch, spans: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+    """``batch`` with the words in ``spans`` cut from its texts; a text that nothing hits is not touched."""
+    texts = batch.column("text")
+    if any(spans):
+        texts = pa.array([cut(t, own) if own else t for t, own in zip(texts.to_pylist(), spans, strict=True)], pa.string())
+    return pa.RecordBatch.from_arrays([texts if n == "text" else c for n, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:

@@ -283,10 +283,11 @@ def test_decontamination_cuts_passages(spark):
     table = docs(spark, [(1, f"Start here. {item.upper()}! End of it all, with more of the words than were cut away from it now.", "s"),
                          (2, item, "s"), (3, None, "s"), (4, "clean", None)])
     items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
-    kept = decontaminate.decontaminate(table, items)
-    assert kept.columns == table.columns
-    assert rows_of(kept, "doc_id", "text") == [
-        (1, "Start here. ! End of it all, with more of the words than were cut away from it now."), (3, None), (4, "clean")]
+    two = items.union(spark.createDataFrame([(2, " ".join(words(14, 2)))], "item_id bigint, text string"))
+    for kept in (decontaminate.decontaminate(table, items), decontaminate.decontaminate(table, two, block_words=14)):
+        assert kept.columns == table.columns
+        assert rows_of(kept, "doc_id", "text") == [
+            (1, "Start here. ! End of it all, with more of the words than were cut away from it now."), (3, None), (4, "clean")]
     none = items.limit(0)
     assert decontaminate.contamination(table, none).filter("contaminated").count() == 0
     assert decontaminate.contamination(table.limit(0), items).count() == 0
