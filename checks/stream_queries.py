@@ -28,14 +28,28 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def arrival(rows: DataFrame, parts: int, part: Column) -> DataFrame:
-    """``rows`` as a stream of ``parts`` files, one per micro-batch, in the order of ``part``."""
-    folder = st.fresh_folder(rows.sparkSession, "arrivals")
+#: Rows of a file of a stream; up to so many are one file.
+ROWS_PER_FILE = 20_000
+
+
+def arrival(rows: DataFrame, parts: int, part: Column, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``rows`` as a stream of ``parts`` micro-batches, in the order of ``part``, each of the same number of files.
+
+    A part of few rows is one file; a larger one is written and read by many tasks.
+    """
+    spark, folder = rows.sparkSession, st.fresh_folder(rows.sparkSession, "arrivals")
     stored = materialize(rows.withColumn("__part", part.cast("int")))
-    for i in range(parts):
-        stored.filter(F.col("__part") == i).drop("__part").coalesce(1).write.mode("append").parquet(folder)
+    largest = stored.filter(F.col("__part").between(0, parts - 1)).groupBy("__part").count().agg(F.max("count")).first()[0] or 0
+    files = max(1, min(-(-largest // rows_per_file), 4 * spark.sparkContext.defaultParallelism))
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
-    return sources.stream_pages(rows.sparkSession, folder, schema, files_per_trigger=1)
+    for i in range(parts):
+        own = stored.filter(F.col("__part") == i).drop("__part")
+        (own.repartition(files) if files > 1 else own.coalesce(1)).write.mode("append").parquet(folder)
+        # Empty partitions leave no files: empty files make up for them, so that no batch takes files of the next part.
+        written = len(spark.read.schema(schema).parquet(folder).inputFiles())
+        for _ in range(files * (i + 1) - written):
+            own.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return sources.stream_pages(spark, folder, schema, files_per_trigger=files)
 
 
 def landed(rows: DataFrame) -> DataFrame:

@@ -106,11 +106,16 @@ class ChangeTracker(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         import pandas as pd
 
-        known = self.seen.get() if self.seen.exists() else None
+        # Each call on the state is a trip to the JVM: one reads it, one writes it, and timers change only if the time did.
+        known = self.seen.get()
         hash_, first, last = known if known else (None, None, None)
-        arrived = pd.concat(list(rows), ignore_index=True).sort_values(["fetched_at", "page", "pos"], kind="stable")
+        before_batch = last
+        frames = list(rows)
+        arrived = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        if len(arrived) > 1:
+            arrived = arrived.sort_values(["fetched_at", "page", "pos"], kind="stable")
         out = []
-        for at, content in zip(arrived["fetched_at"].tolist(), arrived["content_hash"], strict=True):
+        for at, content in zip(arrived["fetched_at"].tolist(), arrived["content_hash"].tolist(), strict=True):
             # An older copy that comes late neither counts as a change nor moves the state back.
             if last is not None and at < last:
                 continue
@@ -118,10 +123,13 @@ class ChangeTracker(StatefulProcessor):
             if before != content:
                 out.append((key[0], "new" if before is None else "changed", content, before, first, at))
         if hash_ is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
             self.seen.update((hash_, first, last))
-            self.handle.registerTimer(self._after(last))
+            # The one timer of an id follows its last time.
+            if before_batch is None:
+                self.handle.registerTimer(self._after(last))
+            elif last != before_batch:
+                self.handle.deleteTimer(self._after(before_batch))
+                self.handle.registerTimer(self._after(last))
         if out:
             yield pd.DataFrame(out, columns=CHANGE_NAMES)
 
