@@ -43,8 +43,10 @@ WINDOWS = (1, 3, 8, 24)
 MOST_SENT = 2_000_000
 #: Most words of a model that is sent to all tasks (16 bytes each); beyond, words are joined with it.
 MOST_WORDS = 4_000_000
-#: Distinct pairs or words that a task gathers before it hands them on.
-GATHERED = 1_000_000
+#: Distinct pairs or words that a task gathers before it hands them on, and how many it hands on in one Arrow batch.
+GATHERED, HANDED = 1_000_000, 50_000
+#: Bytes of text that are hashed and judged at a time; every worker holds about a hundred bytes for each of them.
+SLICE = 250_000
 #: Bitmaps of 64 bits in a sketch; each sees an eighth of what the one before sees.
 LEVELS = 6
 #: A bitmap with fewer empty places than this is crowded, and the next one counts.
@@ -91,27 +93,32 @@ def _hashed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(*text_bytes(batch.column("text")), IS_BREAK)
 
 
+def _handed(arrays, names: list[str]):
+    """Record batches of at most ``HANDED`` entries."""
+    for at in range(0, len(arrays[0]), HANDED):
+        parts = [x[at:at + HANDED] for x in arrays]
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in parts], names=names)
+
+
 def _summed(rows: DataFrame, kind: str, each, merge) -> DataFrame:
     """What ``each`` makes of slices of texts, arrays with 64-bit keys first, merged by ``merge`` over a whole task.
 
-    A task merges as it goes and hands on what it has only beyond ``GATHERED`` entries, so that its memory is bounded.
+    A task merges as it goes and hands on what it has only beyond ``GATHERED`` entries, ``HANDED`` at a time, so that its
+    memory and that of the executor that reads from it are bounded.
     """
     names = [c.split()[0] for c in kind.split(", ")]
 
-    def out(arrays):
-        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in arrays], names=names)
-
     def run(batches):
         held, new = [], 0
-        for batch in in_slices(batches, "text"):
+        for batch in in_slices(batches, "text", SLICE):
             held.append(each(batch))
             new += len(held[-1][0])
             if new >= GATHERED // 4:
                 held, new = [merge(*(np.concatenate(x) for x in zip(*held, strict=True)))], 0
                 if len(held[0][0]) >= GATHERED:
-                    yield out(held.pop())
+                    yield from _handed(held.pop(), names)
         if held:
-            yield out(merge(*(np.concatenate(x) for x in zip(*held, strict=True))))
+            yield from _handed(merge(*(np.concatenate(x) for x in zip(*held, strict=True))), names)
 
     return small_batches(rows).mapInArrow(run, kind)
 
@@ -329,7 +336,7 @@ def judged(rows: DataFrame, model: Model, keep: list[str], name: str, most_words
 
     def run(batches):
         known, ratio, unknown = shared.value
-        for batch in in_slices(batches, "text"):
+        for batch in in_slices(batches, "text", SLICE):
             hashes, bounds = _hashed(batch)
             yield _with_evidence([batch.column(c) for c in keep], keep, name,
                                  evidence(find(known, ratio, hashes, np.full(len(hashes), unknown)), bounds))
@@ -348,7 +355,7 @@ def _judged_by_join(rows: DataFrame, model: Model, keep: list[str], name: str) -
     rows = stored(rows.withColumn(row, F.monotonically_increasing_id()))
 
     def words(batches):
-        for batch in in_slices(batches, "text"):
+        for batch in in_slices(batches, "text", SLICE):
             hashes, bounds = _hashed(batch)
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(row), lists], names=["row", "words"])

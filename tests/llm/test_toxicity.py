@@ -98,6 +98,14 @@ def test_ratios_match_a_plain_version(spark):
     assert got[hashed("vile")] > max(2, np.median(list(got.values())))
 
 
+def test_counts_are_handed_on_in_small_batches():
+    keys, seen = np.arange(2 * toxicity.HANDED + 7, dtype=np.uint64), np.ones(2 * toxicity.HANDED + 7, np.int32)
+    parts = list(toxicity._handed([keys, seen], ["k", "seen"]))
+    assert [p.num_rows for p in parts] == [toxicity.HANDED, toxicity.HANDED, 7]
+    assert np.array_equal(np.concatenate([p["k"].to_numpy() for p in parts]), keys.view(np.int64))
+    assert list(toxicity._handed([keys[:0], seen[:0]], ["k", "seen"])) == []
+
+
 def plain_evidence(ratio):
     n = len(ratio)
     mean = sum(ratio) / max(n, 1)
