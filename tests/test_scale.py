@@ -7,9 +7,10 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import functions as F
 
-from checks import stream_queries
+from checks import catalog_queries, stream_queries
 from pagelake.functions import text as T
 from pagelake.operators import catalog, profile
+from pagelake.plans import verbs
 from pagelake.streaming import jobs
 
 URL = "https://market.example.org/users/c-1/"
@@ -45,6 +46,46 @@ def test_unread_fields_of_a_section_stay_out_of_the_shuffle(spark):
     assert grouped.count("first(") == 1 and "min_by" not in grouped
 
 
+def written(spark, run):
+    """How many tables ``run`` stores, and in how many Python stages their plans parse pages."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, write = [], DataFrameWriter.parquet
+
+    def spy(self, path, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *args, **kwargs)
+
+    DataFrameWriter.parquet = spy
+    try:
+        result = run()
+    finally:
+        DataFrameWriter.parquet = write
+    plans.append(result._jdf.queryExecution().optimizedPlan().toString())
+    return result, sum(p.count("MapInArrow") for p in plans)
+
+
+def test_health_parses_each_page_once(spark):
+    pages = profile_rows(spark, 1, 2)
+    report, parsed = written(spark, lambda: verbs.health({"profile": pages, "detail": pages}, "s")[0])
+    assert parsed == 2
+    rows = {r.surface: (r.structures, r["pages"], r.passed) for r in report.collect()}
+    # All pages have one URL, so they count as one structure; nothing names the user or the project.
+    assert rows == {"profile": (1, 3, 0), "detail": (1, 3, 0)}
+
+
+def test_readers_of_few_fields_do_without_the_others(spark, tmp_path):
+    for name, rows in {
+        "nation": "select 0L n_nationkey, 'n' n_name", "customer": "select 1L c_custkey, 'c' c_name, 0L c_nationkey, 1.5D c_acctbal, 'M' c_mktsegment",
+        "orders": "select id o_orderkey, 1L o_custkey, 'O' o_orderstatus, 10.0D o_totalprice, date'1995-01-02' o_orderdate, '1-URGENT' o_orderpriority from range(95, 99)",
+    }.items():
+        spark.sql(rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    first = catalog_queries.w1(spark, str(tmp_path))
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    assert "card_text" not in plan.split("Generate")[0] and "responses_count" not in plan
+    assert sorted(map(tuple, first.collect())) == [(5_500_000 + k, 4, k - 95) for k in range(95, 99)]
+
+
 def test_a_pattern_is_searched_once_inside_a_lambda(spark):
     found = spark.range(1).select(F.transform(F.array(F.lit("a1"), F.lit("b")), lambda x: T.clean_text(T.find(x, r"\d"))).alias("x"))
     assert found.first().x == ["1", None]
