@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 from datetime import datetime
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from checks import catalog_queries, stream_queries
+from checks import catalog_queries, render, stream_queries
 from pagelake.functions import text as T
-from pagelake.operators import catalog, profile
+from pagelake.operators import catalog, html_tree, profile
 from pagelake.plans import verbs
 from pagelake.streaming import jobs
 
@@ -74,12 +76,42 @@ def test_health_parses_each_page_once(spark):
     assert rows == {"profile": (1, 3, 0), "detail": (1, 3, 0)}
 
 
-def test_readers_of_few_fields_do_without_the_others(spark, tmp_path):
+def small_tables(spark, tmp_path):
     for name, rows in {
         "nation": "select 0L n_nationkey, 'n' n_name", "customer": "select 1L c_custkey, 'c' c_name, 0L c_nationkey, 1.5D c_acctbal, 'M' c_mktsegment",
         "orders": "select id o_orderkey, 1L o_custkey, 'O' o_orderstatus, 10.0D o_totalprice, date'1995-01-02' o_orderdate, '1-URGENT' o_orderpriority from range(95, 99)",
     }.items():
         spark.sql(rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+
+def test_pages_are_rendered_after_the_shuffle(spark, tmp_path):
+    small_tables(spark, tmp_path)
+    for pages, found in ((render.catalog_html, 4), (render.profile_html, 3)):
+        df = pages(spark, str(tmp_path))
+        plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+        dealt = [i for i, line in enumerate(plan) if "Repartition" in line]
+        below = [plan[j] for i in dealt for j in range(i + 1, len(plan)) if all(depth[k] > depth[i] for k in range(i + 1, j + 1))]
+        assert dealt and not any("project-description" in line for line in below)
+        assert any("project-description" in line for line in plan)
+        assert df.count() == found
+
+
+def test_no_search_for_cycles_while_pages_are_parsed(monkeypatch):
+    seen, arrays = [], html_tree._dom_arrays
+    monkeypatch.setattr(html_tree, "_dom_arrays", lambda pages: seen.append(gc.isenabled()) or arrays(pages))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["<p>a<b>b<div>c</div></p>d<br/><i/>", None])], names=["k", "html"])
+    [out] = html_tree.parse_batches(iter([batch]))
+    assert seen == [False] and gc.isenabled()
+    first, second = out.to_pylist()
+    assert second["nodes"] == [] and first["texts"] == ["a", "b", "c", "d"]
+    # A block ends the paragraph around it, also through inline elements.
+    assert [(n["tag"], n["parent"], n["last"], n["s0"], n["s1"]) for n in first["nodes"]] == [
+        ("html", -1, 6, 0, 4), ("body", 0, 6, 0, 4), ("p", 1, 3, 0, 2), ("b", 2, 3, 1, 2), ("div", 1, 4, 2, 3), ("br", 1, 5, 4, 4), ("i", 1, 6, 4, 4)]
+
+
+def test_readers_of_few_fields_do_without_the_others(spark, tmp_path):
+    small_tables(spark, tmp_path)
     first = catalog_queries.w1(spark, str(tmp_path))
     plan = first._jdf.queryExecution().optimizedPlan().toString()
     assert "card_text" not in plan.split("Generate")[0] and "responses_count" not in plan
