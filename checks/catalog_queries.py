@@ -105,7 +105,9 @@ def c25(spark, sf):
 
 @query("c26_labelled_values", ITEMS + "SELECT page, id, o_orderkey % 50 AS responses, CASE WHEN kind = 'vacancy' THEN n_name END AS location, NULL AS views FROM items")
 def c26(spark, sf):
-    return items(spark, sf).select(
+    # Labelled values are found in the text of a card.
+    found = catalog.catalog_items(catalog.catalog_pages(render.catalog_html(spark, sf), fingerprint=False, markup=False))
+    return found.select(
         F.col("page").cast("long").alias("page"), "id", F.col("responses_count").cast("long").alias("responses"), "location", F.col("views_raw").alias("views")
     )
 
@@ -276,7 +278,7 @@ def l2(spark, sf):
     start, limit = crawl.start_of(2), crawl.page_limit(5)
     # As in the verbs, start and limit are applied before any page is parsed.
     chosen = verbs.chosen_pages(render.catalog_html(spark, sf), limit, start, None)
-    cut = crawl.traversal_cut(catalog.catalog_pages(chosen, fingerprint=False), max_pages=limit, start_page=start)
+    cut = crawl.traversal_cut(catalog.catalog_pages(chosen, fingerprint=False, markup=False), max_pages=limit, start_page=start)
     return catalog.catalog_items(cut).select("id", F.col("page").cast("long").alias("page"))
 
 
@@ -453,7 +455,7 @@ def e5(spark, sf):
 @query("w3_last_page_wins", SECTIONS + "SELECT 'c-' || o_custkey AS username, o_orderkey + 5500000 AS id, max(page) AS page, min(page) AS first_page FROM y GROUP BY o_custkey, o_orderkey")
 def w3(spark, sf):
     cards = render.profile_html(spark, sf).withColumn("username", F.regexp_extract("url", r"/users/([^/]+)", 1))
-    found = catalog.catalog_items(catalog.catalog_pages(cards, fingerprint=False))
+    found = catalog.catalog_items(catalog.catalog_pages(cards, fingerprint=False, markup=False))
     merged = crawl.last_page_wins(found.select("username", "id", "page", "pos", "title"))
     return merged.select("username", "id", F.col("page").cast("long").alias("page"), F.col("first_page").cast("long").alias("first_page"))
 

@@ -80,6 +80,8 @@ class Selectors:
 
 
 SELECTORS = Selectors()
+#: Fields of an item that are looked for among the elements of its card.
+MARKUP_FIELDS = ("description", "budget", "customer", "image_url", "field_sources")
 USER_LINK = dom.match("a", has="href")
 EXPLICIT_NEXT = dom.either(
     lambda n: (n["tag"] == "a") & F.coalesce(
@@ -168,12 +170,13 @@ def _ensure(pages: DataFrame) -> DataFrame:
 
 
 def catalog_pages(
-    pages: DataFrame, fingerprint: bool = True, selectors: Selectors = SELECTORS, structure: bool = False
+    pages: DataFrame, fingerprint: bool = True, selectors: Selectors = SELECTORS, structure: bool = False, markup: bool = True
 ) -> DataFrame:
     """One row per listing page: accepted ``cards``, next page and diagnostics; with ``structure`` its fingerprint.
 
     Input columns: ``url``, ``html`` and optionally ``page``, ``fetched_at`` and any keys, which are
-    passed through.
+    passed through.  Without ``markup`` the cards carry their text but not their elements, which is all
+    that readers of identity, kind and labelled values need; ``catalog_items`` then has the fields found so.
     """
     prepared = _ensure(pages)
     if fingerprint:
@@ -234,9 +237,11 @@ def catalog_pages(
             c["title"].alias("title"),
             known["card_text"].alias("card_text"),
             known["kind"].alias("kind"),
-            dom.below(nodes, card).alias("nodes"),
-            F.slice(texts, card["s0"] + 1, card["s1"] - card["s0"]).alias("texts"),
-            card["s0"].alias("s0"),
+            *([
+                dom.below(nodes, card).alias("nodes"),
+                F.slice(texts, card["s0"] + 1, card["s1"] - card["s0"]).alias("texts"),
+                card["s0"].alias("s0"),
+            ] if markup else []),
         )
 
     paged = parsed.select(
@@ -361,7 +366,10 @@ def catalog_items(
     diagnostics) stay on each item, with ``page_url`` naming the page.  With ``keep_pages`` a page
     without items stays as one row without an id, and ``has_next``/``next_url`` stay on every row, so
     that one table answers questions about both items and pages.
+
+    Cards of pages read without markup give the same records less ``MARKUP_FIELDS``.
     """
+    markup = "nodes" in pages.schema["cards"].dataType.elementType.names
     dropped = {
         "cards", "root_selector", "candidate_links_found", "cards_found", "parsed_count",
         "unknown_kind_count", "missing_required", "warnings", "field_sources", "confidence",
@@ -384,25 +392,24 @@ def catalog_items(
             F.col("c.url").alias("url"),
             F.col("c.kind").alias("kind"),
             F.col("c.card_text").alias("card_text"),
-            F.col("c.texts").alias("texts"),
-            F.col("c.nodes").alias("nodes"),
-            F.col("c.s0").alias("s0"),
+            *([F.col("c.texts").alias("texts"), F.col("c.nodes").alias("nodes"), F.col("c.s0").alias("s0")] if markup else []),
         )
     )
     card = card.withColumn("base", split_base(F.col("page_url")))
     nodes, texts, text, s0 = F.col("nodes"), F.col("texts"), F.col("card_text"), F.col("s0")
     staged = card.select(
         *keys, "page_url", "fetched_at", "pos", "id", "title", "url", "kind", "card_text",
-        described(texts, nodes, F.col("title"), K.DESCRIPTION_STOP_WORDS, 20, dom.text_of, s0, selectors).alias("described"),
-        budget_text(texts, nodes, F.replace(text, F.lit("\n"), F.lit(" ")), s0, selectors).alias("priced"),
-        person(texts, dom.first(nodes, user_link), F.col("base"), s0).alias("customer"),
-        let(dom.first(nodes, selectors.image or IMAGE), lambda n: image_url(n, F.col("base"))).alias("image_url"),
+        *([
+            described(texts, nodes, F.col("title"), K.DESCRIPTION_STOP_WORDS, 20, dom.text_of, s0, selectors).alias("described"),
+            budget_text(texts, nodes, F.replace(text, F.lit("\n"), F.lit(" ")), s0, selectors).alias("priced"),
+            person(texts, dom.first(nodes, user_link), F.col("base"), s0).alias("customer"),
+            let(dom.first(nodes, selectors.image or IMAGE), lambda n: image_url(n, F.col("base"))).alias("image_url"),
+        ] if markup else []),
         T.published_text(text).alias("published_raw"),
     )
     return staged.select(
         *keys, "page_url", "pos", "id", "title", "url",
-        F.col("described.value").alias("description"),
-        parse_money(F.col("priced.value")).alias("budget"),
+        *([F.col("described.value").alias("description"), parse_money(F.col("priced.value")).alias("budget")] if markup else []),
         "kind",
         T.status(text).alias("status"),
         F.lit(None).cast("string").alias("category"),
@@ -412,13 +419,12 @@ def catalog_items(
         "published_raw",
         T.label_int(text, "responses").alias("responses_count"),
         T.label(text, "views").alias("views_raw"),
-        "customer",
-        "image_url",
+        *(["customer", "image_url"] if markup else []),
         source_struct(F.col("page_url"), F.col("fetched_at")).alias("source"),
         "card_text",
-        F.create_map(
+        *([F.create_map(
             F.lit("title"), F.lit("url_anchor"),
             F.lit("description"), F.col("described.source"),
             F.lit("budget"), F.col("priced.source"),
-        ).alias("field_sources"),
+        ).alias("field_sources")] if markup else []),
     )

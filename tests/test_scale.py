@@ -35,6 +35,16 @@ def test_cards_are_not_computed_for_a_filter_too(spark):
     assert sorted((r.page, r.pos, r.id, r.kind) for r in items.collect()) == [(p, i, i + 1, "order") for p in (1, 2) for i in (0, 1)]
 
 
+def test_readers_of_card_texts_do_without_their_elements(spark):
+    pages = profile_rows(spark, 1, 2)
+    whole = catalog.catalog_items(catalog.catalog_pages(pages, fingerprint=False))
+    plain = catalog.catalog_items(catalog.catalog_pages(pages, fingerprint=False, markup=False))
+    assert plain.columns == [c for c in whole.columns if c not in catalog.MARKUP_FIELDS]
+    assert sorted(map(str, plain.collect())) == sorted(map(str, whole.select(plain.columns).collect()))
+    few = [df.select("id", "kind")._jdf.queryExecution().optimizedPlan().toString().count("slice(") for df in (whole, plain)]
+    assert few[1] < few[0]
+
+
 def test_sections_are_not_computed_for_a_filter_too(spark):
     rows = profile.section_rows(profile.profile_pages(profile_rows(spark, 1, 2), "s"), "portfolio")
     assert not [line for line in filters(rows) if "transform" in line or "size(" in line]
