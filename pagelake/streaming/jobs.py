@@ -88,74 +88,120 @@ CHANGES = (
 
 
 class ChangeTracker(StatefulProcessor):
-    """Per id: the hash last seen, since when the id is known, and a timer that forgets ids that stay away."""
+    """For the ids of a bucket: the hash last seen, since when an id is known, and a timer that forgets ids that stay away.
+
+    Each call on the state is a trip to the JVM, and so is each key: ids share both by bucket. The one timer of a bucket is
+    that of the id that stays away longest.
+    """
 
     def __init__(self, keep_seconds: int) -> None:
         self.keep = keep_seconds * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "content_hash string, first_seen_at timestamp, last_seen_at timestamp")
+        self.seen = handle.getValueState(
+            "seen", "ids array<bigint>, hashes array<string>, first_seen array<bigint>, last_seen array<bigint>")
 
-    def _after(self, at) -> int:
-        import pandas as pd
+    def _known(self) -> dict:
+        """Hash, first and last time (microseconds, UTC) by id."""
+        stored = self.seen.get()
+        return {} if stored is None else {i: (h, a, z) for i, h, a, z in zip(*stored, strict=True)}
+
+    def _store(self, known: dict) -> None:
+        hashes, first, last = (list(c) for c in zip(*known.values(), strict=True))
+        self.seen.update((list(known), hashes, first, last))
+
+    def _after(self, last: int) -> int:
+        return last // 1000 + self.keep
 
-        # Stored times have no zone and mean UTC, whatever the zone of the worker.
-        return int(pd.Timestamp(at).timestamp() * 1000) + self.keep
+    def _next(self, known: dict) -> int | None:
+        return self._after(min(last for _, _, last in known.values())) if known else None
 
     def handleInputRows(self, key, rows, timerValues):
         import pandas as pd
 
-        # Each call on the state is a trip to the JVM: one reads it, one writes it, and timers change only if the time did.
-        known = self.seen.get()
-        hash_, first, last = known if known else (None, None, None)
-        before_batch = last
+        known = self._known()
+        timer_before = self._next(known)
         frames = list(rows)
         arrived = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if len(arrived) > 1:
             arrived = arrived.sort_values(["fetched_at", "page", "pos"], kind="stable")
-        out = []
-        for at, content in zip(arrived["fetched_at"].tolist(), arrived["content_hash"].tolist(), strict=True):
+        # Rows without an id have a bucket of their own, so that no other id is read as a fraction.
+        ids = [None] * len(arrived) if arrived["id"].isna().any() else arrived["id"].tolist()
+        if arrived["fetched_at"].isna().any():
+            raise ValueError("tracked items need a fetched_at")
+        # Times have no zone and mean UTC, whatever the zone of the worker.
+        times = arrived["fetched_at"].astype("datetime64[us]").astype("int64").tolist()
+        now, out = {}, []
+        for id_, at, content in zip(ids, times, arrived["content_hash"].tolist(), strict=True):
+            before, first, last = now.get(id_) or known.get(id_) or (None, None, None)
             # An older copy that comes late neither counts as a change nor moves the state back.
             if last is not None and at < last:
                 continue
-            before, hash_, last, first = hash_, content, at, first or at
+            if first is None:
+                first = at
             if before != content:
-                out.append((key[0], "new" if before is None else "changed", content, before, first, at))
-        if hash_ is not None:
-            self.seen.update((hash_, first, last))
-            # The one timer of an id follows its last time.
-            if before_batch is None:
-                self.handle.registerTimer(self._after(last))
-            elif last != before_batch:
-                self.handle.deleteTimer(self._after(before_batch))
-                self.handle.registerTimer(self._after(last))
+                out.append((id_, "new" if before is None else "changed", content, before, first, at))
+            now[id_] = (content, first, at)
+        known.update((i, state) for i, state in now.items() if state[0] is not None)
+        if known:
+            self._store(known)
+            timer = self._next(known)
+            if timer_before is None:
+                self.handle.registerTimer(timer)
+            elif timer != timer_before:
+                self.handle.deleteTimer(timer_before)
+                self.handle.registerTimer(timer)
         if out:
-            yield pd.DataFrame(out, columns=CHANGE_NAMES)
+            yield _changes(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        import pandas as pd
-
-        hash_, first, last = self.seen.get()
-        self.seen.clear()
-        yield pd.DataFrame([(key[0], "gone", None, hash_, first, last)], columns=CHANGE_NAMES)
+        known = self._known()
+        edge = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        gone = {i: state for i, state in known.items() if self._after(state[2]) <= edge}
+        kept = {i: state for i, state in known.items() if i not in gone}
+        if kept:
+            self._store(kept)
+            self.handle.registerTimer(self._next(kept))
+        else:
+            self.seen.clear()
+        if gone:
+            yield _changes([(i, "gone", None, *state) for i, state in gone.items()])
 
     def close(self) -> None:
         pass
 
 
 CHANGE_NAMES = [c.split()[0] for c in CHANGES.split(", ")]
+#: Buckets of ids in the state of a tracker; those who have far more or fewer ids than millions name another number.
+TRACKER_BUCKETS = 4096
+
+
+def _changes(rows: list[tuple]):
+    """Rows of ``CHANGES`` from tuples with times in microseconds."""
+    import pandas as pd
+
+    frame = pd.DataFrame(rows, columns=CHANGE_NAMES)
+    # Long numbers beside nulls must not become fractions.
+    frame["id"] = pd.array([r[0] for r in rows], dtype="Int64")
+    for name in ("first_seen_at", "last_seen_at"):
+        frame[name] = pd.to_datetime(frame[name], unit="us")
+    return frame
 
 
-def track_changes(items: DataFrame, keep_seconds: int = 30 * 86_400, delay: str = "1 day") -> DataFrame:
+def track_changes(
+    items: DataFrame, keep_seconds: int = 30 * 86_400, delay: str = "1 day", buckets: int = TRACKER_BUCKETS
+) -> DataFrame:
     """Changes of every id as a stream: ``new``, ``changed``, and ``gone`` once it stayed away for ``keep_seconds``.
 
-    ``items`` carry ``id, page, pos, content_hash, fetched_at``. The state of an id lives in Spark's own keyed state store, which
-    must be the RocksDB provider (``keyed_state``), so a batch touches the ids it holds and no others. Time is that of the
-    pages: an id is forgotten when the watermark passes.
+    ``items`` carry ``id, page, pos, content_hash, fetched_at``. The state lives in Spark's own keyed state store, which
+    must be the RocksDB provider (``keyed_state``), in ``buckets`` of ids, so a batch touches the buckets of the ids it
+    holds and no others. A stream keeps the number of buckets it was first started with. Time is that of the pages: an id
+    is forgotten when the watermark passes.
     """
     rows = items.select("id", "page", "pos", "content_hash", "fetched_at").withWatermark("fetched_at", delay)
-    return rows.groupBy("id").transformWithStateInPandas(
+    bucket = F.when(F.col("id").isNull(), -1).otherwise(F.pmod(F.hash("id"), F.lit(buckets)))
+    return rows.withColumn("__bucket", bucket).groupBy("__bucket").transformWithStateInPandas(
         ChangeTracker(keep_seconds), outputStructType=CHANGES, outputMode="append", timeMode="EventTime")
 
 

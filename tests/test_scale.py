@@ -196,3 +196,31 @@ def test_a_tracked_id_has_one_timer_and_few_calls():
     assert arrive(("a", "2026-01-03")) == []
     assert handle.timers == [int(datetime.fromisoformat("2026-01-03T00:01:00+00:00").timestamp() * 1000)]
     assert handle.calls == ["get", "update", "registerTimer", "get", "update", "get", "update", "deleteTimer", "registerTimer"]
+
+
+def test_ids_of_a_bucket_share_the_calls_on_state():
+    handle, tracker, far = Handle(), jobs.ChangeTracker(60), 2**60 + 1
+    tracker.init(handle)
+
+    def arrive(*rows):
+        frame = pd.DataFrame([(i, 1, p, h, pd.Timestamp(t)) for p, (i, h, t) in enumerate(rows)], columns=["id", "page", "pos", "content_hash", "fetched_at"])
+        return [tuple(r) for out in tracker.handleInputRows((7,), iter([frame]), None) for r in out[["id", "change", "previous_hash"]].itertuples(index=False)]
+
+    class At:
+        def __init__(self, at):
+            self.at = int(pd.Timestamp(at).timestamp() * 1000)
+
+        def getExpiryTimeInMs(self):  # noqa: N802
+            return self.at
+
+        getCurrentWatermarkInMs = getExpiryTimeInMs  # noqa: N815
+
+    assert arrive((far, "a", "2026-01-02"), (2, "x", "2026-01-05"), (3, None, "2026-01-01")) == [(far, "new", None), (2, "new", None)]
+    assert arrive((2, "y", "2026-01-06")) == [(2, "changed", "x")]
+    # One timer, of the id that stays away longest; no call is made for each id.
+    assert handle.calls == ["get", "update", "registerTimer", "get", "update"] and handle.timers == [At("2026-01-02 00:01").at]
+    handle.timers.clear()
+    [gone] = tracker.handleExpiredTimer((7,), At("2026-01-03"), At("2026-01-02 00:01"))
+    assert [tuple(r) for r in gone.itertuples(index=False)] == [(far, "gone", None, "a", pd.Timestamp("2026-01-02"), pd.Timestamp("2026-01-02"))]
+    assert handle.timers == [At("2026-01-06 00:01").at]
+    assert arrive((far, "a", "2026-01-07")) == [(far, "new", None)]
