@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import catalog_queries, render, stream_queries
 from pagelake.functions import text as T
-from pagelake.operators import catalog, html_tree, profile
+from pagelake.operators import catalog, dom, html_tree, profile
 from pagelake.plans import verbs
 from pagelake.streaming import jobs
 
@@ -224,3 +224,31 @@ def test_ids_of_a_bucket_share_the_calls_on_state():
     assert [tuple(r) for r in gone.itertuples(index=False)] == [(far, "gone", None, "a", pd.Timestamp("2026-01-02"), pd.Timestamp("2026-01-02"))]
     assert handle.timers == [At("2026-01-06 00:01").at]
     assert arrive((far, "a", "2026-01-07")) == [(far, "new", None)]
+
+
+def test_readers_of_the_same_profiles_parse_them_once(spark, tmp_path):
+    small_tables(spark, tmp_path)
+    union, parsed = written(spark, lambda: catalog_queries.e5(spark, str(tmp_path)))
+    assert parsed == 1
+    assert sorted(map(tuple, union.collect())) == [("c-1", s, 4, 1) for s in ("portfolio", "projects", "reviews")]
+
+
+def test_pages_parsed_before_give_the_same_records(spark):
+    pages = profile_rows(spark, 1, 2).withColumn("note", F.lit("n"))
+    parsed = dom.parse_html(pages)
+    assert parsed.columns == ["url", "page", "note", *dom.DOM_NAMES] and dom.is_parsed(parsed) and not dom.is_parsed(pages)
+    for read in (
+        lambda df: profile.profile_pages(df, "s"), lambda df: catalog.catalog_items(catalog.catalog_pages(df, fingerprint=False)),
+        lambda df: verbs.user_projects(df).ok, lambda df: verbs.user_projects(df).failed, lambda df: verbs.user_portfolio(df, "s").ok,
+    ):
+        own, shared = read(pages), read(parsed)
+        assert own.columns == shared.columns and sorted(map(str, own.collect())) == sorted(map(str, shared.collect()))
+
+
+def test_projects_of_users_with_named_fields(spark):
+    pages = profile_rows(spark, 1, 2)
+    whole = verbs.user_projects(pages).ok
+    for fields in (["title"], ["budget", "kind"]):
+        few = verbs.user_projects(pages, fields=fields).ok
+        assert few.columns == ["username", "id", "page", "pos", *fields]
+        assert sorted(map(str, few.collect())) == sorted(map(str, whole.select(few.columns).collect()))
