@@ -464,7 +464,8 @@ def w3(spark, sf):
 @query("j4_profiles_with_sections", SECTIONS + """, n AS (SELECT o_custkey, count(DISTINCT o_orderkey) AS works FROM y WHERE page <= 2 GROUP BY o_custkey)
 SELECT 'c-' || c_custkey AS username, works, CASE WHEN works IS NOT NULL THEN 'c-' || c_custkey END AS owner FROM customer LEFT JOIN n ON c_custkey = o_custkey""")
 def j4(spark, sf):
-    parsed = profiles(spark, sf).select("username", "page", "name", "portfolio")
+    # Read twice, for the profiles and for their works; the pages are parsed once.
+    parsed = materialize(profiles(spark, sf).select("username", "page", "name", "portfolio"))
     works = profile.section_rows(parsed, "portfolio")
     nested = profile.with_sections(parsed.filter("page = 1").drop("page"), 2, portfolio=works)
     owner = F.regexp_extract(F.get("portfolio", F.lit(0))["url"], r"/users/([^/]+)/", 1)

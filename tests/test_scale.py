@@ -231,6 +231,10 @@ def test_readers_of_the_same_profiles_parse_them_once(spark, tmp_path):
     union, parsed = written(spark, lambda: catalog_queries.e5(spark, str(tmp_path)))
     assert parsed == 1
     assert sorted(map(tuple, union.collect())) == [("c-1", s, 4, 1) for s in ("portfolio", "projects", "reviews")]
+    nested, parsed = written(spark, lambda: catalog_queries.j4(spark, str(tmp_path)))
+    assert parsed == 1
+    # Order 95 and 98 are on page 3, 95 divisible by 5 but not repeated there; works of the first two pages are 96 and 97.
+    assert list(map(tuple, nested.collect())) == [("c-1", 2, "c-1")]
 
 
 def test_pages_parsed_before_give_the_same_records(spark):
