@@ -126,8 +126,7 @@ class ChangeTracker(StatefulProcessor):
         arrived = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if len(arrived) > 1:
             arrived = arrived.sort_values(["fetched_at", "page", "pos"], kind="stable")
-        # Rows without an id have a bucket of their own, so that no other id is read as a fraction.
-        ids = [None] * len(arrived) if arrived["id"].isna().any() else arrived["id"].tolist()
+        ids = [None] * len(arrived) if key[0] == NO_ID else arrived["id"].tolist()
         if arrived["fetched_at"].isna().any():
             raise ValueError("tracked items need a fetched_at")
         # Times have no zone and mean UTC, whatever the zone of the worker.
@@ -175,6 +174,8 @@ class ChangeTracker(StatefulProcessor):
 CHANGE_NAMES = [c.split()[0] for c in CHANGES.split(", ")]
 #: Buckets of ids in the state of a tracker; those who have far more or fewer ids than millions name another number.
 TRACKER_BUCKETS = 4096
+#: The bucket of rows without an id. They travel with a number, because beside nulls ids would become fractions.
+NO_ID = -1
 
 
 def _changes(rows: list[tuple]):
@@ -200,8 +201,9 @@ def track_changes(
     is forgotten when the watermark passes.
     """
     rows = items.select("id", "page", "pos", "content_hash", "fetched_at").withWatermark("fetched_at", delay)
-    bucket = F.when(F.col("id").isNull(), -1).otherwise(F.pmod(F.hash("id"), F.lit(buckets)))
-    return rows.withColumn("__bucket", bucket).groupBy("__bucket").transformWithStateInPandas(
+    bucket = F.when(F.col("id").isNull(), NO_ID).otherwise(F.pmod(F.hash("id"), F.lit(buckets)))
+    keyed = rows.withColumns({"__bucket": bucket, "id": F.coalesce("id", F.lit(0))})
+    return keyed.groupBy("__bucket").transformWithStateInPandas(
         ChangeTracker(keep_seconds), outputStructType=CHANGES, outputMode="append", timeMode="EventTime")
 
 

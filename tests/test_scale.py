@@ -256,3 +256,14 @@ def test_projects_of_users_with_named_fields(spark):
         few = verbs.user_projects(pages, fields=fields).ok
         assert few.columns == ["username", "id", "page", "pos", *fields]
         assert sorted(map(str, few.collect())) == sorted(map(str, whole.select(few.columns).collect()))
+
+
+def test_rows_without_an_id_leave_tracked_ids_alone(spark, tmp_path):
+    schema = "id long, page int, pos int, content_hash string, fetched_at timestamp"
+    for day, h in ((1, "a"), (2, "a"), (3, "b")):
+        rows = spark.createDataFrame([(i, 1, p, h) for p, i in enumerate((None, 2**60 + 1, 2**60 + 2, 0))], "id long, page int, pos int, content_hash string")
+        rows.withColumn("fetched_at", F.lit(f"2026-07-0{day} 10:00:00").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    jobs.keyed_state(spark)
+    found = stream_queries.landed(jobs.track_changes(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), buckets=2))
+    want = [(i, c, h, p) for i in (None, 0, 2**60 + 1, 2**60 + 2) for c, h, p in (("changed", "b", "a"), ("new", "a", None))]
+    assert sorted(((r.id, r.change, r.content_hash, r.previous_hash) for r in found.collect()), key=str) == sorted(want, key=str)
